@@ -6,11 +6,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.llm.canon import look_alike_pairs
+from fairlead.llm.entity import match, matched
 from fairlead.llm.leak import find_leaks, leaked
 from fairlead.llm.names import attribute
+from fairlead.llm.neardup import entry_pairs, near_records
+from fairlead.llm.packing import pack_documents
+from fairlead.operators.packed import split_packed
 from fairlead.schema import table
 
 
+def p2_matches(spark: SparkSession, sf: str) -> DataFrame:
+    fleet = table(spark, sf, "giignl_fsru_fleet")
+    left = fleet.select(
+        F.col("fleet_id").alias("id"), F.concat(F.array("vessel_name"), F.coalesce("ex_names", F.array().cast("array<string>"))).alias("names"), F.col("storage_m3").cast("double").alias("size"),
+        F.col("built_year").alias("year"), F.col("vessel_owner").alias("owner"), F.col("builder").alias("maker"), F.lit(False).alias("hint"),
+    )
+    rows = table(spark, sf, "apply_rows")
+    size, year = F.regexp_replace(F.btrim("capacity"), ",", ""), F.btrim("delivery_year")
+    right = rows.select(
+        F.col("record_id").alias("id"), F.concat(F.array("vessel_name"), split_packed(F.col("other_names"))).alias("names"), F.when(size.rlike(r"^\d+(\.\d+)?$"), size.cast("double")).alias("size"),
+        F.when(year.rlike(r"^\d{4}$"), year.cast("int")).alias("year"), F.col("shipowner").alias("owner"), F.col("shipbuilder").alias("maker"), (F.col("vessel_type") == "FSRU").alias("hint"),
+    )
+    return match(left, right).select(F.col("left_id"), "right_id", "confidence", "level")
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return matched(p2_matches(spark, sf)).select(F.col("left_id").alias("fleet_id"), F.col("right_id").alias("record_id")).distinct()
+
+
+def p2_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    return matched(p2_matches(spark, sf)).select(F.col("left_id").alias("fleet_id"), F.col("right_id").alias("record_id"), F.round("confidence", 4).alias("confidence"))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return entry_pairs(table(spark, sf, "apply_rows"))
+
+
+def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return near_records(table(spark, sf, "apply_rows")).select(F.col("id").alias("record_id"), F.col("group").alias("group_id"))
+
+
 def _organisations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, sf, "apply_rows")
     place = {"shipowner": "shipowner_country_area", "shipbuilder": "shipbuilder_yard_country_area"}
@@ -30,6 +65,10 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("mention").alias("record_id"), "field", "tag")
 
 
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(table(spark, sf, "documents"), table(spark, sf, "pack_sizes"))
+
+
 def p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return find_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
@@ -42,5 +81,5 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return look_alike_pairs(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p9_found, p9_leaks, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_confidence, p5_found, p5_groups, p6_found, p8_containers, p9_found, p9_leaks, p10_found)}
 ORACLES: dict[str, str] = {}
