@@ -43,7 +43,8 @@ def number_key(text: str) -> str:
 
 
 def name_key(text: str) -> str:
-    words = re.findall(r"[^\W_]+", re.sub(r"\b(\w)/(\w)\b", r"\1\2", fold(text)))
+    joined = re.sub(r"\b(lng|\w)[/.](\w)\b\.?", r"\1\2", fold(text))  # 'M/V', 'm.v.', 'LNG/C'
+    words = re.findall(r"[^\W_]+", joined)
     return " ".join(sorted(w for w in words if w not in NAME_EXTRAS) or sorted(words))
 
 
