@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from fairlead.operators.skew import salted_join
 from fairlead.schema import require
+from fairlead.session import settle
 
 # Letters of other scripts whose glyphs equal Latin ones.
 LOOK_ALIKES = [
@@ -141,6 +142,7 @@ def look_alike_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     """
     rows = require(docs, key, text).where(F.col(text).isNotNull() & F.col(key).isNotNull())
     rows = rows.select(F.col(key).alias("id"), F.md5(text).alias("raw"), F.sha2(canonical_text(F.col(text)), 256).alias("form")).distinct()
+    rows = settle(rows)  # every text is brought to its form once
     mixed = rows.groupBy("form").agg(F.min("raw").alias("_lo"), F.max("raw").alias("_hi")).where("_lo <> _hi").select("form")
     rows = rows.join(mixed, "form", "left_semi")
     a, b = rows.select("form", F.col("id").alias("doc_id_a"), F.col("raw").alias("_a")), rows.select("form", F.col("id").alias("doc_id_b"), F.col("raw").alias("_b"))

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from fairlead.llm.canon import canonical
 from fairlead.schema import require
+from fairlead.session import settle
 
 # Forms of companies, which say nothing of the name.
 LEGAL = frozenset("ltd limited pte llc inc gmbh kk nv sa as co corp plc bv ab ag oy asa pty srl spa".split())
@@ -201,7 +202,7 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, explained:
     texts = said.groupBy("field", "text").agg(F.count(F.lit(1)).alias("times")).withColumn("parts", parts_of(F.col("text")))
     named = texts.select("field", "text", "times", (F.size("parts") == 1).alias("alone"), F.explode("parts").alias("part"))
     # Each distinct part is parsed once.
-    parsed = named.groupBy("field", "part").agg(F.sum("times").alias("times")).withColumn("p", _parse("part")).select("field", "part", "times", "p.*")
+    parsed = settle(named.groupBy("field", "part").agg(F.sum("times").alias("times")).withColumn("p", _parse("part")).select("field", "part", "times", "p.*"))
     often = parsed.groupBy("field", "plain").agg(F.sum("times").alias("n"))
 
     tags = require(listed, "field", "tag", "tag_country", "tag_source").where(F.btrim("tag") != "").dropDuplicates(["field", "tag"])
@@ -217,10 +218,10 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, explained:
     slips = slips.select("field", "plain", "n", "u", "form", "of").distinct().where(F.col("n") < least + F.col("of") * explained)
     slips = slips.where(_cost("u", "form") <= TYPO + COMPANY).select("field", "plain").distinct()
     rivals = full.join(slips, ["field", "plain"], "left_anti").select("field", F.lit(None).cast("string").alias("tag"), F.lit(None).cast("string").alias("tag_country"), F.lit(None).cast("string").alias("tag_source"), "form", "keys", "n")
-    forms = tags.select(*rivals.columns).unionByName(rivals)
+    forms = settle(tags.select(*rivals.columns).unionByName(rivals))
 
     near = parsed.select("field", "part", "tokens", F.explode("name_keys").alias("key")).join(forms.select("field", "tag", "tag_country", "tag_source", "form", "n", F.explode("keys").alias("key")), ["field", "key"])
-    near = near.drop("key").distinct().withColumn("cost", _cost("tokens", "form")).where(F.col("cost") <= MOST).drop("tokens")
+    near = settle(near.drop("key").distinct().withColumn("cost", _cost("tokens", "form")).where(F.col("cost") <= MOST).drop("tokens"))
 
     # Rows of one name may say different countries; each distinct saying is judged once.
     saying = said.join(named.select("field", "text", "part", "alone"), ["field", "text"]).select("mention", "field", "part", "country", "source", "alone")
