@@ -107,7 +107,7 @@ def compact(c: Column) -> Column:
     whole_digits = F.greatest(F.floor(F.log10(F.greatest(F.abs(c), F.lit(1e-9)))) + 1, F.lit(1))
     places = F.greatest(F.lit(6) - whole_digits, F.lit(0)).cast("int")
     rounded = F.round(c * F.pow(F.lit(10.0), places)) / F.pow(F.lit(10.0), places)
-    text = F.format_number(rounded, "0.######")
+    text = F.call_function("format_number", rounded, F.lit("0.######"))
     return text
 
 
@@ -117,14 +117,14 @@ def value_variants(c: Column) -> Column:
     raw = F.regexp_extract(v, r"^\$?\s*([\d,]+(?:\.\d+)?)", 1)
     n = F.replace(raw, F.lit(","), F.lit("")).try_cast("double")
     is_whole = n.isNotNull() & (n == F.floor(n))
-    plain = F.when(is_whole, F.format_number(n, "0")).otherwise(n.cast("string"))
+    plain = F.when(is_whole, F.call_function("format_number", n, F.lit("0"))).otherwise(n.cast("string"))
     forms = lambda x, tails: [F.concat(F.lit(a), compact(x), F.lit(b)) for a, b in tails]
     million = [("", "m"), ("$", "m"), ("", " million")]
     billion = [("", "bn"), ("$", "bn"), ("", " billion")]
     big = F.when(is_whole & (n >= 1e6), F.array(*forms(n / 1e6, million), *forms(F.bround(n / 1e6, 0), million)))
     huge = F.when(is_whole & (n >= 1e9), F.array(*forms(n / 1e9, billion), *forms(F.bround(n / 1e9, 2), billion)))
     none = F.array().cast("array<string>")
-    all_forms = F.concat(F.array(v, F.lower(v)), F.when(n.isNotNull(), F.array(plain)).otherwise(none), F.when(is_whole, F.array(F.format_number(n, "#,##0"))).otherwise(none), F.coalesce(big, none), F.coalesce(huge, none))
+    all_forms = F.concat(F.array(v, F.lower(v)), F.when(n.isNotNull(), F.array(plain)).otherwise(none), F.when(is_whole, F.array(F.call_function("format_number", n, F.lit("#,##0")))).otherwise(none), F.coalesce(big, none), F.coalesce(huge, none))
     return F.array_distinct(F.filter(all_forms, lambda x: x.isNotNull() & (x != "")))
 
 

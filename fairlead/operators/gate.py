@@ -60,7 +60,7 @@ def corroborate(claims: DataFrame, pages: DataFrame) -> DataFrame:
 
 def supported_url(checked: DataFrame) -> DataFrame:
     """claim and its url where the check passed, null elsewhere."""
-    return checked.select("claim", F.when("ok", F.col("url")).alias("url"))
+    return checked.select("claim", F.when(F.col("ok"), F.col("url")).alias("url"))
 
 
 def gate_fills(fills: DataFrame, pages: DataFrame) -> DataFrame:

@@ -32,12 +32,12 @@ DESCRIPTOR_TAILS = ["unknown", "owner unknown", "shipowner unknown", "fsru", "tb
 
 @dataclass(frozen=True)
 class Rule:
-    """A check on one cell: it fails where ``fails(column name, stripped non-blank value)`` is true."""
+    """A check on the cells of ``columns``: it fails where ``fails(column name, stripped non-blank value)`` is true."""
 
     check: str
     severity: str
     columns: tuple[str, ...]
-    fails: Callable[[str, Column], Column]
+    fails: Callable[[Column, Column], Column]
 
 
 def vocabulary(vocab: DataFrame, most: int = 100_000) -> dict[str, set[str]]:
@@ -74,11 +74,14 @@ def cell_rules(terms: dict[str, set[str]]) -> list[Rule]:
         for v in values:
             owners.setdefault(v.lower(), set()).add(column)
 
-    def misplaced(column: str, v: Column) -> Column:
-        foreign = sorted(t for t, cs in owners.items() if column not in cs)
-        return F.lower(v).isin(foreign) if foreign else F.lit(False)
+    owned = F.create_map(*[x for t in sorted(owners) for x in (F.lit(t), F.array(*[F.lit(c) for c in sorted(owners[t])]))]) if owners else None
 
-    def data_in_ref(_: str, v: Column) -> Column:
+    def misplaced(column: Column, v: Column) -> Column:
+        if owned is None:
+            return F.lit(False)
+        return F.lower(v).isin(sorted(owners)) & ~F.array_contains(owned[F.lower(v)], column)
+
+    def data_in_ref(_: Column, v: Column) -> Column:
         def is_data(p: Column) -> Column:
             s = strip(p)
             year = s.rlike(r"^\d{4}$") & F.coalesce(s.try_cast("int").between(1900, 2100), F.lit(False))
@@ -103,16 +106,19 @@ def cell_rules(terms: dict[str, set[str]]) -> list[Rule]:
 
 def cell_findings(sheet: DataFrame, rules: list[Rule]) -> DataFrame:
     """Findings of single-cell rules. Blank cells pass; columns that the sheet lacks are skipped."""
-    have = set(sheet.columns)
-    own = sheet.select(*KEYS, *[strip(F.col(c)).alias(c) for c in sheet.columns if c not in KEYS and c in {x for r in rules for x in r.columns}], strip(F.col("row_id")).alias("_row"))
-    made = []
-    for rule in rules:
-        for c in rule.columns:
-            if c in have:
-                v = F.col("_row") if c == "row_id" else F.col(c)
-                hit = (v != "") & rule.fails(c, v)
-                made.append(F.when(hit, F.struct(F.lit(c).alias("column_name"), v.alias("value"), F.lit(rule.check).alias("check_name"), F.lit(rule.severity).alias("severity"))))
-    return own.select(*KEYS, F.inline(F.filter(F.array(*made), lambda x: x.isNotNull())))
+    names = [c for c in sheet.columns if c in {x for r in rules for x in r.columns}]
+    own = sheet.select(*KEYS, *[strip(F.col(c)).alias(f"_c_{c}") for c in names])
+
+    def of(rule: Rule) -> Column | None:
+        cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"_c_{c}").alias("value")) for c in rule.columns if c in names]
+        if not cells:
+            return None
+        bad = F.filter(F.array(*cells), lambda x: (x["value"] != "") & rule.fails(x["column_name"], x["value"]))
+        return F.transform(bad, lambda x: F.struct(x["column_name"].alias("column_name"), x["value"].alias("value"), F.lit(rule.check).alias("check_name"), F.lit(rule.severity).alias("severity")))
+
+    made = [m for m in map(of, rules) if m is not None]
+    found = F.concat(*made) if made else F.array().cast(FINDING)
+    return own.select(*KEYS, F.inline(found))
 
 
 def pair_findings(sheet: DataFrame) -> DataFrame:

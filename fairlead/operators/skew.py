@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = 0.002, salts: int = 32) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = 0.002, salts: int = 32, least: int = 50_000) -> DataFrame:
     """left joined with right, whose rows are few per key.
 
-    A key is hot if more than ``share`` of left's rows have it, so there are at most 1/share hot keys: that list is the
-    only thing broadcast. Rows of hot keys are spread over ``salts`` parts, and right repeats its rows for those keys
+    A key is hot if more than ``share`` of left's rows, and more than ``least``, have it, so there are at most 1/share
+    hot keys: that list is the only thing broadcast. Rows of hot keys are spread over ``salts`` parts, and right repeats its rows for those keys
     only. The counts come from an aggregation that is combined before its shuffle. Null keys match nothing and, for
     how='left', stay.
     """
     counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.agg((F.count(F.lit(1)) * F.lit(share)).alias("_most"))
-    hot = counts.join(F.broadcast(total), F.col("_n") > F.greatest(F.col("_most"), F.lit(50_000.0))).select(F.col(key).alias("_hot"))
+    most = left.agg(F.greatest(F.count(F.lit(1)) * F.lit(share), F.lit(float(least))).alias("_most"))
+    hot = counts.where(F.col("_n") > most.scalar()).select(F.col(key).alias("_hot"))
     spread = F.when(F.col("_hot").isNotNull(), (F.rand(7) * salts).cast("int")).otherwise(F.lit(0))
     a = left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", spread).drop("_hot")
     every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
