@@ -21,6 +21,9 @@ from fairlead.schema import require
 from fairlead.session import settle
 
 
+MOST_PACKS = 1_000
+
+
 def default_vocabulary() -> str:
     """The installed public byte-level vocabulary; pass another path where it lies elsewhere."""
     return "/opt/tokenizers/byte_bpe_50k.json"
@@ -142,8 +145,11 @@ def pack_documents(docs: DataFrame, capacities: DataFrame, key: str = "doc_id",
     """
     sizes = settle(token_counts(docs, key, text, vocabulary))
     shards = max(1, -(-sizes.count() // shard_rows))
-    packs = require(capacities, "pack_id", "capacity_tokens").where("capacity_tokens > 0").distinct()
-    whole = sizes.crossJoin(F.broadcast(packs)).withColumn("_pieces", F.greatest(F.ceil(F.col("tokens") / F.col("capacity_tokens")), F.lit(1)).cast("int"))
+    packs = require(capacities, "pack_id", "capacity_tokens").where("capacity_tokens > 0").distinct().limit(MOST_PACKS + 1).collect()
+    if len(packs) > MOST_PACKS:
+        raise ValueError(f"more than {MOST_PACKS} container sizes")
+    each = F.explode(F.array(*[F.struct(F.lit(p.pack_id).cast("int").alias("pack_id"), F.lit(p.capacity_tokens).cast("bigint").alias("capacity_tokens")) for p in packs]).cast("array<struct<pack_id:int,capacity_tokens:bigint>>"))
+    whole = sizes.withColumn("_p", each).select(*sizes.columns, "_p.*").withColumn("_pieces", F.greatest(F.ceil(F.col("tokens") / F.col("capacity_tokens")), F.lit(1)).cast("int"))
     pieces = whole.select("pack_id", F.col("capacity_tokens").cast("bigint").alias("capacity_tokens"), F.col(key).cast("bigint").alias("doc_id"), "tokens", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)).alias("piece"))
     pieces = pieces.select("pack_id", "capacity_tokens", "doc_id", "piece", (F.col("piece") * F.col("capacity_tokens")).alias("start_token"), F.least(F.col("capacity_tokens"), F.col("tokens") - F.col("piece") * F.col("capacity_tokens")).alias("tokens"))
     # A very long document has many pieces: they are spread by piece as well.
