@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once per row, also where body uses it many times or inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without outer white space of any kind; null becomes ''."""
     return F.coalesce(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit(""))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.functions.parse import tokens, value_variants
-from fairlead.functions.text import split_refs, strip
+from fairlead.functions.text import let, split_refs, strip
 from fairlead.operators.skew import salted_join
 
 # What titles of error pages contain.
@@ -19,8 +19,8 @@ def title_of(html: Column) -> Column:
 
 def page_fault(status: Column, html: Column) -> Column:
     """'HTTP <status>' or 'soft error: <token>' of a page that cannot support anything; null for others. A page never fetched is HTTP 000."""
-    title = F.lower(title_of(html))
-    soft = F.get(F.filter(F.array(*[F.lit(t) for t in ERROR_TITLES]), lambda t: F.contains(title, t)), F.lit(0))
+    tokens_ = F.array(*[F.lit(t) for t in ERROR_TITLES])
+    soft = let(F.lower(title_of(html)), lambda title: F.get(F.filter(tokens_, lambda t: F.contains(title, t)), F.lit(0)))
     code = F.coalesce(status, F.lit("000"))
     return F.when(code != "200", F.concat(F.lit("HTTP "), code)).when(soft.isNotNull(), F.concat(F.lit("soft error: "), soft))
 
@@ -31,9 +31,7 @@ def verify(claims: DataFrame, pages: DataFrame, every: bool = True) -> DataFrame
     pages: url, status, html, one row per url; popular urls are salted. A claim whose page is unknown fails as HTTP 000.
     """
     own = salted_join(claims, pages.select("url", "status", "html"), "url", "left")
-    low = F.lower(F.coalesce("html", F.lit("")))
-    has = lambda x: F.contains(low, F.lower(x))
-    missing = F.filter("expected", lambda x: ~has(x))
+    missing = let(F.lower(F.coalesce("html", F.lit(""))), lambda low: F.filter("expected", lambda x: ~F.contains(low, F.lower(x))))
     fault = page_fault(F.col("status"), F.col("html"))
     if every:
         failed = F.when(F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ", ")))
@@ -50,9 +48,9 @@ def corroborate(claims: DataFrame, pages: DataFrame) -> DataFrame:
     """
     own = salted_join(claims.withColumn("v", strip(F.col("value"))), pages.select("url", "status", "html"), "url", "left")
     low = F.lower(F.coalesce("html", F.lit("")))
-    shown = F.exists(value_variants(F.col("v")), lambda x: F.contains(low, F.lower(x)))
+    shown = let(low, lambda page: F.exists(value_variants(F.col("v")), lambda x: F.contains(page, F.lower(x))))
     words = tokens(F.col("v"))
-    by_words = ~F.col("v").rlike(r"^\$?\s*[\d,]") & (F.size(words) >= 2) & F.forall(words, lambda w: F.contains(low, w))
+    by_words = ~F.col("v").rlike(r"^\$?\s*[\d,]") & (F.size(words) >= 2) & let(low, lambda page: F.forall(words, lambda w: F.contains(page, w)))
     fault = page_fault(F.col("status"), F.col("html"))
     reason = F.when(F.col("v") == "", "no value").otherwise(F.coalesce(fault, F.when(shown, "ok").when(by_words, "ok: all words").otherwise("value not on page")))
     return own.select("claim", "url", reason.isin("no value", "ok", "ok: all words").alias("ok"), reason.alias("reason"))

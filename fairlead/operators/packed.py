@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.functions.text import strip
+from fairlead.functions.text import let, strip
 
 OPEN, SHUT = "\ue000", "\ue001"
 #: What is taken whole: quoted text with doubled quotes, text in round brackets, web addresses. An address ends before
@@ -26,20 +26,32 @@ def split_packed(c: Column, by_address: bool = False) -> Column:
     whatever stands beside it. Blank values are dropped; outer blanks and a pair of enclosing quotes are removed, and
     doubled quotes inside such a pair halved. A quote that is never closed is ordinary text.
     """
-    text = F.regexp_replace(F.coalesce(c, F.lit("")), OPEN, OPEN + "x")
-    spans = F.regexp_extract_all(text, F.lit(f"({SPAN})"), F.lit(1))
-    gaps = F.split(text, SPAN)
-    around = "\n" if by_address else ""
-    put = lambda s: F.when(s.rlike("^(?i:https?://)"), F.lit(around)).otherwise(F.lit("")) if by_address else F.lit("")
-    mark = lambda g, i: F.when(i < F.size(spans), F.concat(g, put(F.get(spans, i)), F.lit(OPEN), i.cast("string"), F.lit(SHUT), put(F.get(spans, i)))).otherwise(g)
-    masked = F.array_join(F.transform(gaps, mark), "")
-    cells = F.transform(F.split(masked, SEPARATOR), strip)
-    atoms = lambda cell: F.regexp_extract_all(cell, F.lit(f"({OPEN}\\d+{SHUT}|[^{OPEN}]+|{OPEN})"), F.lit(1))
-    whole = lambda a: F.when(a.rlike(f"^{OPEN}\\d"), F.get(spans, F.regexp_extract(a, r"(\d+)", 1).try_cast("int"))).otherwise(a)
-    back = lambda cell: F.array_join(F.transform(atoms(cell), whole), "")
-    bare = lambda v: strip(F.when(v.rlike(f"(?s)^{QUOTED}$"), F.replace(F.substring(v, F.lit(2), F.length(v) - 2), F.lit('""'), F.lit('"'))).otherwise(v))
-    values = F.transform(F.filter(cells, lambda x: x != ""), lambda x: F.replace(bare(back(x)), F.lit(OPEN + "x"), F.lit(OPEN)))
-    return F.filter(values, lambda x: x != "")
+    around = F.lit("\n" if by_address else "")
+    is_address = lambda s: s.rlike("^(?i:https?://)")
+
+    def masked(text: Column, spans: Column) -> Column:
+        """The text with each span as its index between the marks."""
+        line = lambda s: F.when(is_address(s), around).otherwise(F.lit(""))
+        mark = lambda g, i: F.when(i < F.size(spans), F.concat(g, line(F.get(spans, i)), F.lit(OPEN), i.cast("string"), F.lit(SHUT), line(F.get(spans, i)))).otherwise(g)
+        return F.array_join(F.transform(F.split(text, SPAN), mark), "")
+
+    def bare(v: Column) -> Column:
+        inner = F.replace(F.substring(v, F.lit(2), F.length(v) - 2), F.lit('""'), F.lit('"'))
+        return F.replace(strip(F.when(v.rlike(f"(?s)^{QUOTED}$"), inner).otherwise(v)), F.lit(OPEN + "x"), F.lit(OPEN))
+
+    def restored(cell: Column, spans: Column) -> Column:
+        atoms = F.regexp_extract_all(cell, F.lit(f"({OPEN}\\d+{SHUT}|[^{OPEN}]+|{OPEN})"), F.lit(1))
+        whole = lambda a: F.when(a.rlike(f"^{OPEN}\\d"), F.get(spans, F.regexp_extract(a, r"(\d+)", 1).try_cast("int"))).otherwise(a)
+        return F.array_join(F.transform(atoms, whole), "")
+
+    def values(text: Column) -> Column:
+        def of(spans: Column) -> Column:
+            cells = F.filter(F.transform(F.split(masked(text, spans), SEPARATOR), strip), lambda x: x != "")
+            return F.filter(F.transform(cells, lambda x: let(restored(x, spans), bare)), lambda x: x != "")
+
+        return let(F.regexp_extract_all(text, F.lit(f"({SPAN})"), F.lit(1)), of)
+
+    return let(F.regexp_replace(F.coalesce(c, F.lit("")), OPEN, OPEN + "x"), values)
 
 
 def explode_packed(df: DataFrame, key: str, fields: dict[str, bool], least: int = 2) -> DataFrame:

@@ -10,14 +10,16 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     """left joined with right, whose rows are few per key.
 
     A key is hot if more than ``share`` of left's rows, and more than ``least``, have it, so there are at most 1/share
-    hot keys: that list is the only thing broadcast. Rows of hot keys are spread over ``salts`` parts, and right repeats its rows for those keys
-    only. The counts come from an aggregation that is combined before its shuffle. Null keys match nothing and, for
-    how='left', stay.
+    hot keys: that list is the only thing broadcast. Rows of hot keys are spread over ``salts`` parts by a hash of the
+    whole row, which a task that runs again after the loss of an executor finds the same; right repeats its rows for hot
+    keys only. The counts come from an aggregation that is combined before its shuffle. Null keys match nothing; for
+    how='left' they stay, and are spread as well.
     """
     counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     most = left.agg(F.greatest(F.count(F.lit(1)) * F.lit(share), F.lit(float(least))).alias("_most"))
     hot = counts.where(F.col("_n") > most.scalar()).select(F.col(key).alias("_hot"))
-    spread = F.when(F.col("_hot").isNotNull(), (F.rand(7) * salts).cast("int")).otherwise(F.lit(0))
+    whole = [f"`{n}`" for n, kind in left.dtypes if "map<" not in kind and kind != "variant"]
+    spread = F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), F.pmod(F.xxhash64(*whole), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     a = left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", spread).drop("_hot")
     every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     b = right.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(every)).drop("_hot")

@@ -130,6 +130,7 @@ def with_fields(df: DataFrame, line: str = "raw_line", most_bytes: int = 16 << 2
     return df.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
 
 
+MOST_TERMS = 100_000
 # What the three checked fields may look like.
 PLAIN_NUMBER = r"^(\d+|\d{1,3}(,\d{3})+)(\.\d+)?$"
 PLAIN_DECIMAL = r"^[+-]?(\d+(\.\d+)?|\.\d+)$"
@@ -141,10 +142,12 @@ def checked(df: DataFrame, vocab: DataFrame, line: str = "raw_line") -> DataFram
 
     broken_quoting and column_count exclude all else; bad_capacity, bad_longitude and bad_operator may come together.
     Blank and 'unknown' are sound. ``vocab`` (column_name, term) is the sheet's controlled vocabulary, one row per term
-    of a form that people pick from; it is collapsed to one array, whose size is checked.
+    of a form that people pick from; its size is checked, because every task holds it.
     """
-    terms = vocab.where(F.col("term").isNotNull()).agg(F.array_distinct(F.collect_list(F.lower(strip(F.col("term"))))).alias("_terms"))
-    terms = terms.withColumn("_terms", F.when(F.size("_terms") <= 100_000, F.col("_terms")).otherwise(F.raise_error(F.lit("vocabulary of more than 100,000 terms"))))
+    rows = vocab.select(F.lower(strip(F.col("term"))).alias("t")).where("t <> ''").distinct().limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"vocabulary of more than {MOST_TERMS} terms")
+    terms = sorted(r.t for r in rows)
 
     def field(name: str) -> Column:
         return strip(F.element_at("_fields", SHEET_COLUMNS.index(name) + 1))
@@ -156,15 +159,10 @@ def checked(df: DataFrame, vocab: DataFrame, line: str = "raw_line") -> DataFram
     reasons = [
         (given(capacity) & ~(capacity.rlike(PLAIN_NUMBER) & (F.coalesce(number, F.lit(0.0)) > 0)), "bad_capacity"),
         (given(longitude) & ~(longitude.rlike(PLAIN_DECIMAL) & F.coalesce(degrees.between(-180, 180), F.lit(False))), "bad_longitude"),
-        (given(operator) & (operator.rlike(ADDRESS) | F.array_contains("_terms", F.lower(operator)) | ~operator.rlike(r"\p{L}")), "bad_operator"),
+        (given(operator) & (operator.rlike(ADDRESS) | (F.lower(operator).isin(terms) if terms else F.lit(False)) | ~operator.rlike(r"\p{L}")), "bad_operator"),
     ]
     found = F.filter(F.array(*[F.when(wrong, F.lit(name)) for wrong, name in reasons]), lambda r: r.isNotNull())
-    return (
-        with_fields(df, line)
-        .crossJoin(F.broadcast(terms))  # one row
-        .withColumn("_reasons", F.when(F.col("_fault").isNotNull(), F.array(F.lit("broken_quoting"))).when(F.size("_fields") != len(SHEET_COLUMNS), F.array(F.lit("column_count"))).otherwise(found))
-        .drop("_terms")
-    )
+    return with_fields(df, line).withColumn("_reasons", F.when(F.col("_fault").isNotNull(), F.array(F.lit("broken_quoting"))).when(F.size("_fields") != len(SHEET_COLUMNS), F.array(F.lit("column_count"))).otherwise(found))
 
 
 def sound_rows(parsed: DataFrame, *keep: str) -> DataFrame:
