@@ -76,7 +76,7 @@ def read_sheet(spark: SparkSession, path: str, least_bytes: int = 0) -> DataFram
     size = files.agg(F.sum("length")).head()[0] or 0
     if size < least_bytes:
         raise ValueError(f"{path}: {size} bytes, {least_bytes} expected")
-    first = files.orderBy("path").select(F.substring(F.decode("content", F.lit("UTF-8")), 1, 1 << 20).alias("t")).head()
+    first = files.orderBy("path").select(F.substring(F.decode("content", "UTF-8"), 1, 1 << 20).alias("t")).head()
     records = []
     for record in csv.reader(io.StringIO(first.t.removeprefix("﻿") if first else "", newline="")):
         records.append(record)
