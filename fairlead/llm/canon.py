@@ -95,8 +95,11 @@ def _ranges(chars: list[str]) -> str:
 @lru_cache(maxsize=1)
 def _transducer():
     forms = table()
-    marks = _ranges([c for c in map(chr, range(0x10000)) if unicodedata.combining(c)])
-    hidden = _ranges([c for c, t in forms.items() if t == "" and not unicodedata.combining(c)])
+    # Marks: combining characters, and the others that compose with a character before them.
+    second = {d[-1] for c in map(chr, range(0x10000)) if not 0xAC00 <= ord(c) <= 0xD7A3 and len(d := unicodedata.normalize("NFD", c)) > 1}
+    attached = {c for c in map(chr, range(0x10000)) if unicodedata.combining(c)} | second
+    marks = _ranges(sorted(attached))
+    hidden = _ranges([c for c, t in forms.items() if t == "" and c not in attached])
     jamo = "[\\u1100-\\u1112][\\u1161-\\u1175][\\u11a8-\\u11c2]?"
     # A base with marks (and invisible characters among them); a Hangul syllable in parts; a line end; one character.
     pattern = re.compile(f"(?s:[^{marks}{hidden}])[{hidden}]*[{marks}][{marks}{hidden}]*|{jamo}|\\r\\n?|[{_ranges([*forms, chr(0x2028), chr(0x2029)])}]")

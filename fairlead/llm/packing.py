@@ -49,10 +49,11 @@ def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", vocab
     return require(docs, key, text).mapInPandas(count, f"{key} {kind}, tokens bigint")
 
 
-def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 400) -> list[tuple[np.ndarray, int]]:
+def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 900) -> list[tuple[np.ndarray, int]]:
     """(items of each size, times) of the whole part of the best fractional packing, by column generation."""
     m = len(sizes)
-    s, d = np.array(sizes), np.array(demand, float)
+    # Groups of equal cardinality make the programme degenerate; demands a little apart keep its steps from circling.
+    s, d = np.array(sizes), np.array(demand, float) + 0.02 * np.random.default_rng(m).random(m)
     columns = np.diag([float(capacity // x) for x in sizes])
     for _ in range(rounds):
         worth = np.linalg.solve(columns.T, np.ones(m))
@@ -79,11 +80,11 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
         if not np.isfinite(ratio[leave]):
             break
         columns[:, leave] = column
-    x = np.floor(np.linalg.solve(columns, d) + 1e-9).astype(int)
+    x = np.floor(np.maximum(np.linalg.solve(columns, np.array(demand, float)), 0) + 1e-9).astype(int)
     return [(columns[:, k].astype(int), int(x[k])) for k in range(m) if x[k] > 0]
 
 
-def pack(sizes: np.ndarray, capacity: int, groups: int = 24, large: float = 1 / 8) -> np.ndarray:
+def pack(sizes: np.ndarray, capacity: int, groups: int = 64, large: float = 1 / 8) -> np.ndarray:
     """Container number of each item; sizes lie between 0 and capacity."""
     out = np.full(len(sizes), -1, np.int64)
     used = 0
@@ -102,7 +103,7 @@ def pack(sizes: np.ndarray, capacity: int, groups: int = 24, large: float = 1 /
     left: list[int] = []
     if len(big):
         stock: dict[int, list[int]] = defaultdict(list)
-        for part in np.array_split(big, min(groups, len(big))):
+        for part in np.array_split(big, max(1, min(groups, len(big) // 8))):
             stock[int(sizes[part].max())].extend(part.tolist())  # rounded up to the group's largest
         levels = sorted(stock)
         for column, times in configurations(levels, [len(stock[x]) for x in levels], capacity):
