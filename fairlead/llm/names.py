@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fairlead.llm.canon import canonical
+from fairlead.operators.skew import salted_join
 from fairlead.schema import require
 from fairlead.session import settle
 
@@ -220,11 +221,15 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, explained:
     rivals = full.join(slips, ["field", "plain"], "left_anti").select("field", F.lit(None).cast("string").alias("tag"), F.lit(None).cast("string").alias("tag_country"), F.lit(None).cast("string").alias("tag_source"), "form", "keys", "n")
     forms = settle(tags.select(*rivals.columns).unionByName(rivals))
 
-    near = parsed.select("field", "part", "tokens", F.explode("name_keys").alias("key")).join(forms.select("field", "tag", "tag_country", "tag_source", "form", "n", F.explode("keys").alias("key")), ["field", "key"])
+    own = lambda c: F.transform(F.col(c), lambda k: F.concat_ws("\u0001", F.col("field"), k))
+    near = salted_join(parsed.select("field", "part", "tokens", F.explode(own("name_keys")).alias("key")), forms.select("tag", "tag_country", "tag_source", "form", "n", F.explode(own("keys")).alias("key")), "key")
     near = settle(near.drop("key").distinct().withColumn("cost", _cost("tokens", "form")).where(F.col("cost") <= MOST).drop("tokens"))
 
-    # Rows of one name may say different countries; each distinct saying is judged once.
-    saying = said.join(named.select("field", "text", "part", "alone"), ["field", "text"]).select("mention", "field", "part", "country", "source", "alone")
+    # Rows of one name may say different countries; each distinct saying is judged once, and only then meets its rows.
+    whole = F.concat_ws("\u0001", "field", "text", "country", "source")
+    said = said.withColumn("_k", whole)
+    sayings = said.groupBy("field", "text", "country", "source").agg(F.first("_k").alias("_k"))
+    saying = salted_join(sayings.withColumn("_t", F.concat_ws("\u0001", "field", "text")), named.select(F.concat_ws("\u0001", "field", "text").alias("_t"), "part", "alone"), "_t").drop("_t")
     judged = saying.select("field", "part", "country", "source", "alone").distinct().join(near, ["field", "part"])
     known = (F.col("country") != "") & (F.lower("country") != "unknown") & (F.col("tag_country") != "") & (F.col("tag_country") != "AMBIGUOUS")
     sourced = (F.col("source") != "") & (F.col("tag_source") != "")
@@ -233,4 +238,5 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, explained:
     post = judged.withColumn("post", F.log(F.col("n") + 0.5) - F.col("cost") + F.coalesce(fits, F.lit(0.0)))
     best = post.groupBy("field", "part", "country", "source", "alone").agg(F.max(F.struct("post", F.negative("cost").alias("close"), F.array_join("form", " ").alias("name"), "tag")).alias("b"))
     best = best.where(F.col("b.tag").isNotNull()).select("field", "part", "country", "source", "alone", F.col("b.tag").alias("tag"))
-    return saying.join(best, ["field", "part", "country", "source", "alone"]).select("mention", "field", "tag").distinct()
+    tags_of = saying.join(best, ["field", "part", "country", "source", "alone"]).select("_k", "tag").distinct()
+    return salted_join(said.select("mention", "field", "_k"), tags_of, "_k").select("mention", "field", "tag").distinct()
