@@ -146,6 +146,9 @@ ORDINALS = frozenset("one two three four five six seven eight nine ten eleven tw
 def same_thing(a: dict[str, str], b: dict[str, str]) -> float:
     """Evidence that two cleaned records are of one vessel: above 5 they are."""
     total = agree = 0.0
+    number_same = bool(a["imo_number"]) and a["imo_number"] == b["imo_number"]
+    if a["vessel_name"] and b["vessel_name"] and not number_same and _name_evidence(a["vessel_name"], b["vessel_name"]) < 0:
+        return -9.0  # neither name nor number is the same: at most a sister
     if a["imo_number"] and b["imo_number"]:
         far = distance(a["imo_number"], b["imo_number"])
         total += 6.0 if far == 0 else 1.5 if far == 1 else -2.5 if far == 2 else -6.0
