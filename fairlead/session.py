@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +48,30 @@ def settle(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors once per application, so that their Python finds it wherever the driver's came from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_fairlead_shipped", False):
+        return
+    sc._fairlead_shipped = True
+    top = os.path.dirname(os.path.abspath(__file__))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in sorted(os.walk(top)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.writestr(zipfile.ZipInfo(os.path.relpath(path, os.path.dirname(top))), open(path, "rb").read())
+    data = buffer.getvalue()
+    base = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    if "://" in base:  # not a mounted folder: the driver serves the archive from its own disk
+        base = tempfile.gettempdir()
+    path = os.path.join(base, f"fairlead-{hashlib.sha256(data).hexdigest()[:16]}.zip")
+    if not os.path.exists(path):
+        os.makedirs(base, exist_ok=True)
+        with open(f"{path}.{os.getpid()}", "wb") as f:
+            f.write(data)
+        os.replace(f"{path}.{os.getpid()}", path)
+    sc.addPyFile(path)
