@@ -912,7 +912,7 @@ def _claims(spark, sf) -> DataFrame:
 @query(
     f"WITH {_ACC}, p AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '404' ELSE '200' END AS status, CASE WHEN doc_id % 13 = 0 THEN 'page not found' ELSE lower(source) END AS title, lower('<html><head><title>' || CASE WHEN doc_id % 13 = 0 THEN 'Page not found' ELSE source END || '</title></head><body>' || text || '</body></html>') AS html FROM documents), "
     "j AS (SELECT cell_id AS claim, 'https://pages.example/' || CAST(cell_id % 1000 + 1 AS VARCHAR) AS url, lower(coalesce(value, '')) AS v, p.* FROM acc LEFT JOIN p ON cell_id % 1000 + 1 = doc_id) "
-    "SELECT claim, url, status = '200' AND doc_id % 13 <> 0 AND contains(html, v) AS ok, CASE WHEN doc_id IS NULL THEN 'HTTP 000' WHEN status <> '200' THEN 'HTTP ' || status WHEN doc_id % 13 = 0 THEN 'soft error: not found' WHEN contains(html, v) THEN 'ok' ELSE 'missing: ' || v END AS reason FROM j"
+    "SELECT claim, url, coalesce(status = '200' AND doc_id % 13 <> 0 AND contains(html, v), false) AS ok, CASE WHEN doc_id IS NULL THEN 'HTTP 000' WHEN status <> '200' THEN 'HTTP ' || status WHEN doc_id % 13 = 0 THEN 'soft error: not found' WHEN contains(html, v) THEN 'ok' ELSE 'missing: ' || v END AS reason FROM j"
 )
 def g01_verify(spark, sf):
     claims = _claims(spark, sf).select("claim", "url", F.array(F.lower(F.coalesce("value", F.lit("")))).alias("expected"))
