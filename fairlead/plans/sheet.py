@@ -72,6 +72,7 @@ def MONTH(c: str) -> str:
     )
 
 
+_WHOLE = r"CASE WHEN regexp_full_match(regexp_replace(regexp_replace({c}, '[\s, ]', '', 'g'), '\.0*$', ''), '[+-]?\d{{1,18}}') THEN try_cast(regexp_replace(regexp_replace({c}, '[\s, ]', '', 'g'), '\.0*$', '') AS BIGINT) END"
 CELLS = "cells AS (" + " UNION ALL ".join(f"SELECT record_id, row_id, '{c}' AS column_name, {S(c)} AS value FROM apply_rows" for c in SHEET_COLUMNS) + ")"
 TAGGED = (
     "owner_alias AS (SELECT row_number() OVER (ORDER BY owner_tag) AS o, owner_tag AS k FROM shipowner_facts), builder_alias AS (SELECT row_number() OVER (ORDER BY builder_tag) AS o, builder_tag AS k FROM shipbuilder_facts),"
@@ -486,7 +487,6 @@ def k01_quality_report(spark, sf):
 
 _LAST = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {{key}} ORDER BY {{by}}) AS k FROM apply_rows WHERE {S('row_id')} <> '') WHERE k = 1"
 _KEYED = f"latest AS ({_LAST.format(key='row_id', by='loaded_at DESC, record_id DESC')}), byrow AS (SELECT try_cast(row_id AS BIGINT) AS key, * FROM latest)"
-_WHOLE = r"CASE WHEN regexp_full_match(regexp_replace(regexp_replace({c}, '[\s, ]', '', 'g'), '\.0*$', ''), '[+-]?\d{{1,18}}') THEN try_cast(regexp_replace(regexp_replace({c}, '[\s, ]', '', 'g'), '\.0*$', '') AS BIGINT) END"
 _ACC = f"acc AS (SELECT cell_id, {_WHOLE.format(c='row_id')} AS key, column_name, accepted_value AS value, confidence FROM (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY loaded_at DESC, accepted_value DESC) AS k FROM apply_accepted) WHERE k = 1)"
 _CELL = "CASE column_name " + " ".join(f"WHEN '{c}' THEN {S('s.' + c)}" for c in SHEET_COLUMNS) + " END"
 
@@ -771,23 +771,24 @@ def m11_pair_differences(spark, sf):
 
 
 def _sides(spark, sf):
-    raw = table(spark, sf, "apply_rows")
-    number = P.digits(F.col("imo_number")).alias("imo")
-    even, odd = raw.where("record_id % 5 <> 0").select(number), raw.where("record_id % 3 <> 0").select(number)
-    return even, odd, raw.where("record_id % 11 = 0").select(number)
+    """The row numbers of the report, of the sheet, and of rejected decisions, as text."""
+    key = lambda df: df.select(F.coalesce(whole_number(F.col("row_id")).cast("string"), F.lit("")).alias("row"))
+    return key(table(spark, sf, "verify_report")), key(rows_of(spark, sf)), key(table(spark, sf, "decisions").where("decision = 'reject'"))
+
 
+def _key_side(t: str) -> str:
+    return "SELECT coalesce(CAST(" + _WHOLE.format(c="row_id") + f" AS VARCHAR), '') AS key, count(*) AS n FROM {t} GROUP BY 1"
 
-_KEY_SIDE = "SELECT regexp_replace(coalesce(imo_number, ''), '[^0-9]', '', 'g') AS key, count(*) AS n FROM apply_rows WHERE record_id % {m} {op} GROUP BY 1"
 
 
 @query(
-    f"WITH l AS ({_KEY_SIDE.format(m=5, op='<> 0')}), r AS ({_KEY_SIDE.format(m=3, op='<> 0')}), x AS ({_KEY_SIDE.format(m=11, op='= 0')}), b AS (SELECT coalesce(l.key, r.key) AS key, l.n AS ln, r.n AS rn, x.n IS NOT NULL AS x FROM (SELECT * FROM l WHERE key <> '') l FULL JOIN (SELECT * FROM r WHERE key <> '') r ON l.key = r.key LEFT JOIN x ON x.key = coalesce(l.key, r.key)) "
+    f"WITH l AS ({_key_side('verify_report')}), r AS ({_key_side('apply_rows')}), x AS ({_key_side("(SELECT * FROM decisions WHERE decision = 'reject')")}), b AS (SELECT coalesce(l.key, r.key) AS key, l.n AS ln, r.n AS rn, x.n IS NOT NULL AS x FROM (SELECT * FROM l WHERE key <> '') l FULL JOIN (SELECT * FROM r WHERE key <> '') r ON l.key = r.key LEFT JOIN x ON x.key = coalesce(l.key, r.key)) "
     "SELECT CASE WHEN ln IS NOT NULL AND rn IS NOT NULL THEN CASE WHEN x THEN 'contradiction' ELSE 'matched' END WHEN ln IS NOT NULL THEN CASE WHEN x THEN 'only_left_excluded' ELSE 'only_left' END ELSE 'only_right' END AS bucket,"
     " CASE WHEN ln IS NOT NULL AND rn IS NOT NULL THEN 'both' WHEN ln IS NOT NULL THEN 'left' ELSE 'right' END AS side, key, coalesce(ln, 0) + coalesce(rn, 0) AS rows FROM b"
     " UNION ALL SELECT 'null_key', 'left', key, n FROM l WHERE key = '' UNION ALL SELECT 'null_key', 'right', key, n FROM r WHERE key = ''"
 )
 def j13_key_buckets(spark, sf):
-    return reconcile.key_buckets(*_sides(spark, sf), "imo")
+    return reconcile.key_buckets(*_sides(spark, sf), "row")
 
 
 _FIELDS = ["accepted_value", "backend_value", "status"]

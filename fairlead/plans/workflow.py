@@ -12,6 +12,7 @@ from fairlead.functions import text as X
 from fairlead.operators import gate, lookup, patch, proposals, quality, reconcile
 from fairlead.operators.orphans import whole_number
 from fairlead.operators.skew import salted_join
+from fairlead.plans import problems
 from fairlead.plans import sheet as SH
 from fairlead.plans.sheet import S, SQ, TAGGED, VESSEL_KEY, accepted, by_key, rows_of, tagged
 from fairlead.schema import YARD_BLOCK, table
@@ -99,19 +100,14 @@ def s11_decisions(spark, sf):
     return d.where(s("decision") != "").groupBy("item_id").agg(F.max(F.lower(s("decision"))).alias("decision"))
 
 
-_BASE = ["vessel_name", "hull_number", "capacity", "shipowner"]
+_BASE = SH.APPENDED
+_GIVEN = " OR ".join(f"{S(c)} <> ''" for c in _BASE)
 
 
-@query(
-    f"WITH {SH._KEYED}, rev AS (SELECT key, {', '.join(_BASE)} FROM byrow WHERE record_id % 9 = 0 AND ({' OR '.join(S(c) + " <> ''" for c in _BASE)})), r AS (SELECT key, {', '.join(f"'rev ' || coalesce({c}, '')" + f' AS {c}' for c in _BASE)} FROM rev)"
-    f" SELECT * FROM r UNION ALL SELECT key, {', '.join(_BASE)} FROM byrow WHERE key NOT IN (SELECT key FROM r)"
-)
+@query(f"WITH {SH._KEYED}, rev AS ({SH.ORACLES['m08_append_pivot']}), r AS (SELECT * FROM rev WHERE {_GIVEN}) SELECT key, {', '.join(_BASE)} FROM r UNION ALL SELECT key, {', '.join(_BASE)} FROM byrow WHERE key NOT IN (SELECT key FROM r)")
 def s21_base_first(spark, sf):
-    live = by_key(spark, sf)
-    reviewed = live.where("record_id % 9 = 0")
-    some = F.greatest(*[(s(c) != "").cast("int") for c in _BASE]) > 0
-    reviewed = reviewed.where(some).select("key", *[F.concat(F.lit("rev "), F.coalesce(c, F.lit(""))).alias(c) for c in _BASE])
-    return patch.base_first(live, reviewed, _BASE)
+    """The sheet with the rows of accepted cells, as far as they are given, in place of the live ones."""
+    return patch.base_first(by_key(spark, sf), SH.m08_append_pivot(spark, sf), _BASE)
 
 
 @query(f"SELECT record_id, CASE WHEN n IS NULL THEN 'unknown' WHEN n < 50000 THEN 'below' WHEN n <= 80000 THEN 'review' ELSE 'above' END AS band FROM (SELECT record_id, {SH.NUM('capacity')} AS n FROM apply_rows)")
@@ -191,22 +187,27 @@ def j01_row_lookup(spark, sf):
     return salted_join(d, by_key(spark, sf).select("key", "record_id", "vessel_name"), "key", "left").select("decision_id", "record_id", F.when(F.col("record_id").isNotNull(), s("vessel_name")).otherwise("").alias("vessel_name"))
 
 
-_SPLIT = "record_id % 4 = 0"
+_KEYS_OF = "SELECT {i} AS id, {b} AS builder, {h} AS hull, {o} AS owner, {m} AS month FROM {t}"
+_ORDERS = _KEYS_OF.format(i="raw_id", b=SH.CLEAN("f[19]"), h=SH.S(SH._HULL.replace("hull_number", "f[9]")), o=SH.CLEAN("f[15]"), m=SH.MONTH("f[42]"), t="vals v JOIN reasons USING (raw_id) WHERE len([x FOR x IN r IF x IS NOT NULL]) = 0")
+_INDEXED = _KEYS_OF.format(i="record_id", b=SH.CLEAN("shipbuilder"), h=SH.S(SH._HULL), o=SH.CLEAN("shipowner"), m=SH.MONTH("contract_date"), t="apply_rows")
 
 
 @query(
-    f"WITH {TAGGED}, {SH._DUP} SELECT record_id FROM k WHERE {_SPLIT} AND NOT EXISTS (SELECT 1 FROM k i WHERE NOT ({_SPLIT.replace('record_id', 'i.record_id')}) AND i.builder = k.builder AND i.hull = k.hull AND i.builder <> '' AND i.hull <> '')"
-    f" AND NOT EXISTS (SELECT 1 FROM k i WHERE NOT ({_SPLIT.replace('record_id', 'i.record_id')}) AND i.builder = k.builder AND i.owner = k.owner AND i.month = k.month AND i.builder <> '' AND i.owner <> '' AND i.month <> '')"
+    problems._P1 + f", o AS ({_ORDERS}), i AS ({_INDEXED}) SELECT id AS raw_id FROM o WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.builder = o.builder AND i.hull = o.hull AND i.builder <> '' AND i.hull <> '')"
+    " AND NOT EXISTS (SELECT 1 FROM i WHERE i.builder = o.builder AND i.owner = o.owner AND i.month = o.month AND i.builder <> '' AND i.owner <> '' AND i.month <> '')"
 )
 def j15_orders_not_indexed(spark, sf):
-    keyed = SH._keyed(spark, sf)
-    index, orders = keyed.where(f"NOT ({_SPLIT})"), keyed.where(_SPLIT)
+    """Loaded raw rows that the sheet has neither by yard and hull nor by yard, owner and month."""
+    from fairlead.sources.raw_records import sound_rows
+
+    keys = lambda df, i: df.select(F.col(i).alias("id"), X.clean_org(F.col("shipbuilder")).alias("builder"), lookup.hull_key(F.col("hull_number")).alias("hull"), X.clean_org(F.col("shipowner")).alias("owner"), P.month_key(F.col("contract_date")).alias("month"))
+    orders, index = keys(sound_rows(problems._parsed(spark, sf), "raw_id"), "raw_id"), keys(rows_of(spark, sf), "record_id")
     for cols in (["builder", "hull"], ["builder", "owner", "month"]):
         given = F.lit(True)
         for c in cols:
             given = given & (F.col(c) != "")
         orders = orders.join(index.where(given).select(*cols).distinct(), cols, "left_anti")
-    return orders.select("record_id")
+    return orders.select(F.col("id").alias("raw_id"))
 
 
 @query(
@@ -358,13 +359,17 @@ def g08_confidence_labels(spark, sf):
     return rows_of(spark, sf).select("record_id", F.when(n >= 2, "G").when(n == 1, "Y").otherwise("R").alias("label"))
 
 
+_REF = "shipowner_ref"
+
+
 @query(
-    f"WITH {SH._KEYED}, l AS (SELECT key, {SH.SPLIT_REFS('capacity_ref')} || ['https://new.example/a', 'https://new.example/' || CAST(key AS VARCHAR)] AS l FROM byrow WHERE key % 3 = 0), u AS (SELECT key, unnest(l) AS x, unnest(range(len(l))) AS i FROM l), f AS (SELECT key, x, min(i) AS i FROM u GROUP BY ALL) SELECT key, string_agg(x, ', ' ORDER BY i) AS cell FROM f GROUP BY key"
+    f"WITH {SH._KEYED}, {SH._ACC}, n AS (SELECT key, cell_id, unnest({SH.SPLIT_REFS('value')}) AS x, unnest(range(len({SH.SPLIT_REFS('value')}))) AS i FROM acc WHERE column_name = '{_REF}' AND key IS NOT NULL), o AS (SELECT key, unnest({SH.SPLIT_REFS(_REF)}) AS x, unnest(range(len({SH.SPLIT_REFS(_REF)}))) AS i FROM byrow WHERE key IN (SELECT key FROM n)), "
+    "u AS (SELECT key, x, (0, 0, i) AS p FROM o UNION ALL SELECT key, x, (1, cell_id, i) FROM n WHERE key IN (SELECT key FROM byrow)), f AS (SELECT key, x, min(p) AS p FROM u GROUP BY ALL) SELECT key, string_agg(x, ', ' ORDER BY p) AS cell FROM f GROUP BY key"
 )
 def m09_merged_refs(spark, sf):
-    sheet = by_key(spark, sf).select("key", "capacity_ref")
-    new = sheet.where("key % 3 = 0").select("key", F.posexplode(F.array(F.lit("https://new.example/a"), F.concat(F.lit("https://new.example/"), F.col("key").cast("string")), F.lit("https://new.example/a"))).alias("pos", "url"))
-    return patch.merged_refs(sheet, new, "capacity_ref")
+    """A reference cell with all links accepted for it appended: none is lost where several were."""
+    own = accepted(spark, sf).where(f"column_name = '{_REF}' and key is not null").select("key", "cell_id", F.posexplode(X.split_refs(F.col("value"))).alias("i", "url"))
+    return patch.merged_refs(by_key(spark, sf).select("key", _REF), own.select("key", F.struct("cell_id", "i").alias("pos"), "url"), _REF)
 
 
 @query(
