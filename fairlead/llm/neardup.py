@@ -2,8 +2,9 @@
 
 A record becomes a set of shingles, each a pair of values of which one identifies the thing (number, name, hull) and
 the other is any other field: things of one series share most fields but none of these pairs. MinHash samples of the
-set are folded into a parity bitmap, the odd sketch; records that share a sample are candidates, the exclusive-or of
-their sketches estimates their similarity, and what is left is compared field by field.
+set are folded into a parity bitmap, the odd sketch; records that share a sample are candidates, and so are, exactly,
+all pairs whose identity values can make them one thing (exact_keys). Every candidate is compared field by field. The
+exclusive-or of two sketches estimates the similarity, too roughly at its low end to reject a pair.
 """
 
 from __future__ import annotations
@@ -104,7 +105,41 @@ def similarity(differing: int) -> float:
     return 1.0 if differing == 0 else max(0.0, 1 + BITS / (4 * SAMPLES) * np.log(left)) if left > 0 else 0.0
 
 
-_SKETCH = T.StructType([T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
+def deletions(word: str) -> set[str]:
+    """The word and all forms of it with one letter less: words one edit or swap apart share one."""
+    return {word} | {word[:k] + word[k + 1 :] for k in range(len(word))}
+
+
+def exact_keys(got: dict[str, str]) -> tuple[list[str], list[str]]:
+    """Keys of a cleaned record; every pair that same_thing() links at its usual limit of 5 shares one.
+
+    The first list is for any two records: equal number, or names that are equal or one edit apart. The second is for
+    pairs of which one record has no name, as other names forbid a link without an equal number: equal hull, a number
+    one edit off, or a hull one edit off where no other field may differ but capacity and price.
+    """
+    number, name, hull = (got[f] for f in IDENTITY)
+    both = {f"n|{number}"} if number else set()
+    if name:
+        words = set(name.split())
+        joined = name.replace(" ", "")
+        both.add(f"j|{joined}")
+        if not any(c.isdigit() for c in joined):
+            both |= {f"j|{d}" for d in deletions(joined)}
+        for w in words:
+            if len(w) >= 4 and not any(c.isdigit() for c in w) and w not in ORDINALS:
+                rest = " ".join(sorted(words - {w}))
+                both |= {f"w|{rest}|{d}" for d in deletions(w)}
+    lone = {f"d|{d}" for d in deletions(number)} if number else set()
+    if hull:
+        lone.add(f"h|{hull}")
+        series = [got[f] for f in CONTEXT[2:] if f not in ("capacity", "price")]
+        if all(series):
+            lone |= {f"s|{d}|{'|'.join(series)}" for d in deletions(hull)}
+    return sorted(both), sorted(lone)
+
+
+_KEYS = T.ArrayType(T.LongType())
+_SKETCH = T.StructType([T.StructField("keys", _KEYS), T.StructField("lone", _KEYS), T.StructField("named", T.BooleanType()), T.StructField("sketch", T.BinaryType())])
 
 
 @F.pandas_udf(_SKETCH)
@@ -118,12 +153,13 @@ def _sketch(rows: pd.DataFrame) -> pd.DataFrame:
         shingles += [f"{a}|{x}|{b}|{y}" for k, (a, x) in enumerate(ids) for b, y in ids[k + 1 :]]
         shingles += [f"{a}|{x}" for a, x in ids if a != "hull_number"]
         if not shingles:
-            out.append((None, None))
+            out.append((None, None, False, None))
             continue
         s = samples_of(shingles)
-        keys = (s ^ (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(56))).astype(np.int64)
-        out.append((keys.tolist(), odd_sketch(s)))
-    return pd.DataFrame(out, columns=["keys", "sketch"])
+        keys = (s ^ (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(56))).astype(np.int64).tolist()
+        both, lone = ([int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(k)))) for k in ks] for ks in exact_keys(got))
+        out.append((sorted({*keys, *both}), lone, bool(got["vessel_name"]), odd_sketch(s)))
+    return pd.DataFrame(out, columns=["keys", "lone", "named", "sketch"])
 
 
 def _name_evidence(a: str, b: str) -> float:
@@ -182,22 +218,26 @@ def same_thing(a: dict[str, str], b: dict[str, str]) -> float:
     return total if agree else -9.0
 
 
-def near_records(rows: DataFrame, key: str = "record_id", entry: str = "row_id", least_similarity: float = 0.02, least_evidence: float = 5.0) -> DataFrame:
+def near_records(rows: DataFrame, key: str = "record_id", entry: str = "row_id", least_similarity: float = 0.0, least_evidence: float = 5.0) -> DataFrame:
     """(id, group) of records in groups of two or more entries of one thing; the group is its least id.
 
     Records need IDENTITY and CONTEXT columns; any may be null, other columns are ignored. Records without number, name
-    and hull are in no group. Records of one ``entry`` id are one thing. Candidates share a MinHash sample; of these,
-    pairs whose odd sketches estimate at least ``least_similarity`` are compared field by field and linked at
-    ``least_evidence``; groups are the connected components.
+    and hull are in no group. Records of one ``entry`` id are one thing. Candidates share a MinHash sample or one of
+    exact_keys(), are compared field by field and linked at ``least_evidence``; groups are the connected components. A
+    ``least_similarity`` above 0 drops pairs whose odd sketches estimate less, which loses true pairs.
     """
     fields = [*IDENTITY, *CONTEXT]
     rows = require(rows, key, entry, *fields)
     own = rows.select(F.col(key).alias("id"), F.col(entry).alias("_entry"), *fields).where("id is not null")
-    made = settle(own.withColumn("s", _sketch(F.struct(*fields))).where("s.sketch is not null").select("id", "_entry", *fields, "s.keys", "s.sketch"))
+    made = settle(own.withColumn("s", _sketch(F.struct(*fields))).where("s.sketch is not null").select("id", "_entry", *fields, "s.keys", "s.lone", "s.named", "s.sketch"))
     keyed = made.select("id", F.explode("keys").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     keyed = keyed.join(shared, "bucket", "left_semi")
-    cand = salted_join(keyed.withColumnRenamed("id", "a"), keyed.withColumnRenamed("id", "b"), "bucket").where("a < b").select("a", "b").distinct()
+    cand = salted_join(keyed.withColumnRenamed("id", "a"), keyed.withColumnRenamed("id", "b"), "bucket").where("a < b").select("a", "b")
+    lone = made.select("id", "named", F.explode("lone").alias("bucket"))
+    nameless = lone.where("not named").select(F.col("id").alias("x"), "bucket")
+    met = salted_join(nameless, lone.select(F.col("id").alias("y"), "bucket"), "bucket").where("x <> y")
+    cand = cand.union(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
     side = lambda n: made.select(F.col("id").alias(n), F.col("sketch").alias(f"_s{n}"), F.struct(*fields).alias(f"_r{n}"))
     wide = cand.join(side("a"), "a").join(side("b"), "b")
 
