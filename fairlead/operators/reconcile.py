@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fairlead.functions.text import strip, vessel_key
@@ -42,46 +43,41 @@ def name_join(roster: DataFrame, sheet: DataFrame, kind: str = "FSRU") -> DataFr
     return hits.groupBy("idx").agg(F.min(rank).alias("m")).select("idx", F.col("m.pos").alias("pos"), F.col("m.vessel_type").alias("vessel_type"), F.col("m.distance").alias("distance"))
 
 
-def suggest(roster: DataFrame, sheet: DataFrame, named: DataFrame, most_rounds: int = 200) -> DataFrame:
+def suggest(roster: DataFrame, sheet: DataFrame, named: DataFrame, most_rounds: int | None = None) -> DataFrame:
     """(idx, pos): for roster records without a shared name the sheet record of agreeing size and a common owner tag.
 
     roster: idx, size, year, tags; sheet: pos, size, year, tags (arrays of owner tags). Roster records choose in file
     order: nearest year (unknown: 999), then size, then row; a row taken by a name match of an earlier roster record or
-    by an earlier choice is gone. That is the stable matching in which every row prefers the earliest chooser, so it is
-    found in rounds: each free record asks for its best open row, a row keeps the earliest asker. Rows alike in tag,
-    size, year and the time they are gone form a cell with as many places as rows, so pairs are of records and cells.
+    by an earlier choice is gone. Rows alike in tags, size, year and the time they are gone form a cell and are taken in
+    row order, so a cell offers a record the row after those that earlier records choose there. In every round each
+    record takes its best offer, given the choices of the round before; the earliest record that is not yet right becomes
+    so, hence choices that no longer change are the sequential ones. Of a cell only as many first rows are read as
+    there are records that ask it. Rounds end when nothing changes, or fail after ``most_rounds`` if given.
     """
     used = named.groupBy("pos").agg(F.min("idx").alias("gone"))
     rows = sheet.select("pos", "size", "year", F.array_join(F.array_sort("tags"), "|").alias("t"), "tags").where("size is not null and size(tags) > 0")
-    rows = rows.join(used, "pos", "left").withColumn("gone", F.coalesce("gone", F.lit(1 << 60)))
-    cells = settle(rows.groupBy("t", "size", "year", "gone").agg(F.count(F.lit(1)).alias("places"), F.first("tags").alias("tags")).withColumn("cell", F.xxhash64("t", "size", F.coalesce("year", F.lit(-1)), "gone")))
+    rows = settle(rows.join(used, "pos", "left").withColumn("gone", F.coalesce("gone", F.lit(1 << 60))).withColumn("cell", F.struct("t", "size", "year", "gone")))
+    cells = rows.groupBy("cell").agg(F.first("tags").alias("tags")).select("cell", "cell.size", "cell.year", "cell.gone", "tags")
     askers = roster.join(named.select("idx"), "idx", "left_anti").select("idx", F.col("size").alias("s"), F.col("year").alias("y"), F.explode("tags").alias("tag")).where("s is not null")
     met = salted_join(cells.select("cell", "size", "year", "gone", F.explode("tags").alias("tag")), askers, "tag").where(size_agrees(F.col("s"), F.col("size")) & (F.col("gone") > F.col("idx")))
     gap = F.when((F.coalesce("y", F.lit(0)) != 0) & (F.coalesce("year", F.lit(0)) != 0), F.abs(F.col("y") - F.col("year"))).otherwise(999)
-    wish = settle(met.select("idx", "cell", F.struct(gap.alias("gap"), F.abs(F.col("s") - F.col("size")).alias("far"), F.col("cell")).alias("rank")).distinct())
-    places = cells.select("cell", "places")
-    held = wish.select("idx", "cell", "rank").limit(0)
-    for _ in range(most_rounds):
-        free = wish.join(held.select("idx"), "idx", "left_anti")
-        ask = free.groupBy("idx").agg(F.min("rank").alias("rank")).select("idx", F.col("rank.cell").alias("cell"), "rank")
-        if ask.isEmpty():
-            break
-        from pyspark.sql import Window as W
-
-        order = F.row_number().over(W.partitionBy("cell").orderBy("idx"))  # askers of one cell: a part of the roster, never of the sheet
-        kept = held.unionByName(ask).withColumn("k", order).join(places, "cell")
-        new = settle(kept)
-        refused = new.where("k > places").select("idx", "cell")
-        held = new.where("k <= places").select("idx", "cell", "rank")
-        wish = settle(wish.join(refused, ["idx", "cell"], "left_anti"))
-    else:
-        raise RuntimeError("suggestions did not settle")
-    numbered = held.withColumn("k", F.row_number().over(W.partitionBy("cell").orderBy("idx"))) if most_rounds and not held.isEmpty() else held.withColumn("k", F.lit(0))
-    spots = rows.withColumn("cell", F.xxhash64("t", "size", F.coalesce("year", F.lit(-1)), "gone")).join(numbered.select("cell").distinct(), "cell", "left_semi")
-    most = numbered.groupBy("cell").agg(F.count(F.lit(1)).alias("need"))
-    # Only as many first rows as a cell hands out are ranked.
-    firsts = spots.join(most, "cell").withColumn("k", F.row_number().over(W.partitionBy("cell").orderBy("pos"))).where("k <= need") if most_rounds else spots
-    return numbered.join(firsts.select("cell", "k", "pos"), ["cell", "k"]).select("idx", "pos")
+    asked = settle(met.select("idx", F.to_json("cell").alias("cell"), gap.alias("gap"), F.abs(F.col("s") - F.col("size")).alias("far")).distinct())
+    need = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("need"))
+    spots = rows.select("pos", F.to_json("cell").alias("cell")).join(need, "cell")
+    # Only as many first rows of a cell as there are records that ask it are ever taken.
+    firsts = settle(spots.withColumn("k", F.row_number().over(W.partitionBy("cell").orderBy("pos"))).where("k <= need").select("cell", "pos", "k"))
+    earlier = F.coalesce(F.sum("_mine").over(W.partitionBy("cell").orderBy("idx").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # askers of one cell: a part of the roster, never of the sheet
+    chosen = asked.select("idx", "cell").limit(0).withColumn("pos", F.lit(None).cast("long"))
+    rounds = 0
+    while most_rounds is None or rounds < most_rounds:
+        rounds += 1
+        told = asked.join(chosen.select("idx", "cell", F.lit(1).alias("_mine")), ["idx", "cell"], "left").withColumn("_mine", F.coalesce("_mine", F.lit(0)))
+        offers = told.withColumn("k", (earlier + 1).cast("int")).join(firsts, ["cell", "k"])
+        new = settle(offers.groupBy("idx").agg(F.min(F.struct("gap", "far", "pos", "cell")).alias("m")).select("idx", F.col("m.cell").alias("cell"), F.col("m.pos").alias("pos")))
+        if new.exceptAll(chosen.select(*new.columns)).isEmpty() and chosen.select(*new.columns).exceptAll(new).isEmpty():
+            return new.select("idx", "pos")
+        chosen = new
+    raise RuntimeError("suggestions did not settle")
 
 
 def buckets(roster: DataFrame, sheet: DataFrame, kind: str = "FSRU") -> DataFrame:

@@ -127,3 +127,22 @@ def test_key_buckets_and_differences(spark):
 def test_pair_differences(spark):
     p = spark.createDataFrame([(1, 2, 170000, None, 2020, 2020, ["a"], ["b"], "y", "y"), (3, 4, 1, 1, None, 2, [], ["b"], "", "y")], "idx int, pos int, l_size long, r_size long, l_year int, r_year int, l_tags array<string>, r_tags array<string>, l_builder string, r_builder string")
     assert [tuple(r)[2:] for r in R.pair_differences(p).orderBy("idx").collect()] == [(None, True, False, True), (True, None, None, None)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_suggestions_are_the_sequential_rows(spark, seed):
+    rng = random.Random(seed)
+    roster = [(i, f"n{i}", [], rng.choice([170000, 174000, None]), rng.choice([2020, 2022, None]), rng.sample("abc", rng.randint(0, 2)), "") for i in range(40)]
+    sheet = [(100 + i, f"n{i}" if i in (3, 8, 30) else f"s{i}", rng.choice([170000, 174000]), rng.choice([2020, 2021]), rng.sample("abc", rng.randint(0, 2)), "FSRU") for i in range(40)]
+    r, s = spark.createDataFrame(roster, ROSTER), spark.createDataFrame(sheet, SHEET)
+    named = R.name_join(r, s)
+    by_name, used, want = {x.idx: x.pos for x in named.collect()}, set(), {}
+    for i, _, _, size, year, tags, _ in roster:
+        if i in by_name:
+            used.add(by_name[i])
+            continue
+        open_ = [(abs(year - x[3]) if year else 999, abs(size - x[2]), x[0]) for x in sheet if set(tags) & set(x[4]) and abs(size - x[2]) <= 6000 and x[0] not in used] if size else []
+        if open_:
+            want[i] = min(open_)[2]
+            used.add(want[i])
+    assert {x.idx: x.pos for x in R.suggest(r, s, named).collect()} == want
