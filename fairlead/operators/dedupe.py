@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fairlead.functions.parse import digits, digits_int, month_key, ordinals, size_bucket, year
 from fairlead.functions.text import strip
 from fairlead.operators.lookup import hull_key
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import skew_join
 from fairlead.schema import require
 
 SIZE_GAP, YEAR_GAP = 8_000, 1
@@ -47,7 +47,7 @@ def shared_key(keyed: DataFrame, columns: list[str], name: str) -> DataFrame:
         own = own.where(F.col(c) != "")
     own = own.select("record_id", "row_id", F.concat_ws("|", *columns).alias("key"))
     many = own.groupBy("key").agg(F.min("row_id").alias("lo"), F.max("row_id").alias("hi")).where("lo <> hi").select("key")
-    return salted_join(own, many, "key").select(F.lit(name).alias("kind"), "key", "record_id")
+    return skew_join(own, many, "key").select(F.lit(name).alias("kind"), "key", "record_id")
 
 
 def _may_match(a: str, b: str):
@@ -86,6 +86,6 @@ def focus_pairs(keyed: DataFrame, focus: DataFrame) -> DataFrame:
     own = keyed.where("builder <> '' and owner <> '' and bucket > 0").withColumn("block", F.concat_ws("|", "builder", "owner", F.col("bucket").cast("string")))
     asked = own.join(focus.select("record_id").distinct(), "record_id", "left_semi")
     rename = lambda df, s: df.select("block", F.struct("record_id", "size", "year", "slot", "marks").alias(s))
-    met = salted_join(rename(own, "b"), rename(asked, "a"), "block").where(_may_match("a", "b") & (F.col("a.record_id") != F.col("b.record_id")))
+    met = skew_join(rename(own, "b"), rename(asked, "a"), "block").where(_may_match("a", "b") & (F.col("a.record_id") != F.col("b.record_id")))
     tier = F.when(_apart("a", "b"), 4).otherwise(2)
     return met.select(F.least("a.record_id", "b.record_id").alias("record_id_a"), F.greatest("a.record_id", "b.record_id").alias("record_id_b"), tier.alias("tier")).distinct()

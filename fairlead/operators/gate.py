@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fairlead.functions.parse import tokens, value_variants
 from fairlead.functions.text import let, split_refs, strip
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import skew_join
 
 # What titles of error pages contain.
 ERROR_TITLES = ["404", "429", "503", "not found", "page not found", "too many requests", "access denied", "forbidden", "temporarily unavailable", "just a moment", "attention required"]
@@ -30,7 +30,7 @@ def verify(claims: DataFrame, pages: DataFrame, every: bool = True) -> DataFrame
 
     pages: url, status, html, one row per url; popular urls are salted. A claim whose page is unknown fails as HTTP 000.
     """
-    own = salted_join(claims, pages.select("url", "status", "html"), "url", "left")
+    own = skew_join(claims, pages.select("url", "status", "html"), "url", "left")
     missing = let(F.lower(F.coalesce("html", F.lit(""))), lambda low: F.filter("expected", lambda x: ~F.contains(low, F.lower(x))))
     fault = page_fault(F.col("status"), F.col("html"))
     if every:
@@ -46,7 +46,7 @@ def corroborate(claims: DataFrame, pages: DataFrame) -> DataFrame:
 
     A blank value has nothing to support and passes.
     """
-    own = salted_join(claims.withColumn("v", strip(F.col("value"))), pages.select("url", "status", "html"), "url", "left")
+    own = skew_join(claims.withColumn("v", strip(F.col("value"))), pages.select("url", "status", "html"), "url", "left")
     low = F.lower(F.coalesce("html", F.lit("")))
     shown = let(low, lambda page: F.exists(value_variants(F.col("v")), lambda x: F.contains(page, F.lower(x))))
     words = tokens(F.col("v"))
@@ -104,6 +104,6 @@ def dead_links(sheet: DataFrame, refs: list[str], pages: DataFrame) -> DataFrame
 
 def title_has(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """labels (claim, url, label): whether the page's title contains the label, upper case and with '-' for blanks."""
-    own = salted_join(labels, pages.select("url", "html"), "url", "left")
+    own = skew_join(labels, pages.select("url", "html"), "url", "left")
     flat = lambda c: F.replace(F.upper(c), F.lit(" "), F.lit("-"))
     return own.select("claim", F.contains(flat(title_of(F.col("html"))), flat(F.col("label"))).alias("ok"))

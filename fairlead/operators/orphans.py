@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import skew_join
 from fairlead.schema import require
 
 
@@ -39,7 +39,7 @@ def orphan_references(refs: DataFrame, parents: DataFrame, key: str = "row_id",
         F.when(F.col("_deleted") <= F.col("at").cast("timestamp"), F.lit("deleted")),
         F.when(F.col("_loaded") > F.col("at").cast("timestamp"), F.lit("late")),
     )
-    back = salted_join(refs, missing.unionByName(known), "key")
+    back = skew_join(refs, missing.unionByName(known), "key")
     return back.select("ref_table", "ref_key", F.date_format("at", "yyyy-MM").alias("period"), F.explode(F.filter(reasons, lambda r: r.isNotNull())).alias("reason")).distinct()
 
 

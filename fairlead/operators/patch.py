@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.functions.text import squash, strip
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import skew_join
 
 
 def cell_of(columns: list[str], name: Column) -> Column:
@@ -20,7 +20,7 @@ def verify_cells(accepted: DataFrame, sheet: DataFrame, columns: list[str], key:
     sheet has one row per key. Wide rows are met once, by key; no sheet is unpivoted. White space is normalised.
     """
     own = accepted.select("cell_id", key, "column_name", squash(F.col("value")).alias("value"))
-    got = salted_join(own, sheet.select(key, *columns), key, "left")
+    got = skew_join(own, sheet.select(key, *columns), key, "left")
     found = squash(F.coalesce(cell_of(columns, F.col("column_name")), F.lit("")))
     status = F.when(F.col("found") == "", "MISSING").when(F.col("found") == F.col("value"), "landed").otherwise("MISMATCH")
     return got.select("cell_id", "column_name", "value", found.alias("found")).withColumn("status", status)
@@ -30,7 +30,7 @@ def rows_present(new: DataFrame, sheet: DataFrame) -> DataFrame:
     """new (new_id, name, hull) with present_in, the least record_id whose name or hull is equal; rows with neither count as present without one."""
     keys = lambda df, i: df.select(i, F.explode(F.array(F.struct(F.lit("n").alias("k"), squash(F.col("name")).alias("v")), F.struct(F.lit("h").alias("k"), squash(F.col("hull")).alias("v")))).alias("x")).select(i, "x.k", "x.v").where("v <> ''").withColumn("kv", F.concat_ws(":", "k", "v")).select(i, "kv")
     own = keys(sheet, "record_id").groupBy("kv").agg(F.min("record_id").alias("record_id"))
-    hit = salted_join(keys(new, "new_id"), own, "kv").groupBy("new_id").agg(F.min("record_id").alias("present_in"))
+    hit = skew_join(keys(new, "new_id"), own, "kv").groupBy("new_id").agg(F.min("record_id").alias("present_in"))
     bare = (squash(F.col("name")) == "") & (squash(F.col("hull")) == "")
     return new.select("new_id", bare.alias("unverifiable")).join(hit, "new_id", "left").select("new_id", "present_in", (F.col("present_in").isNotNull() | F.col("unverifiable")).alias("present"))
 
@@ -38,7 +38,7 @@ def rows_present(new: DataFrame, sheet: DataFrame) -> DataFrame:
 def apply_set(patch: DataFrame, sheet: DataFrame, columns: list[str], key: str = "key", overwrite: bool = False) -> DataFrame:
     """patch (patch_id, key, column_name, value) with what applying it does: written, same, no-column, no-row or kept (another value is there)."""
     have = sheet.select(key, F.lit(True).alias("_row"), *columns)
-    got = salted_join(patch.select("patch_id", key, "column_name", strip(F.col("value")).alias("value")), have, key, "left")
+    got = skew_join(patch.select("patch_id", key, "column_name", strip(F.col("value")).alias("value")), have, key, "left")
     cell = cell_of(columns, F.col("column_name"))
     status = (
         F.when(F.col("_row").isNull(), "no-row").when(~F.col("column_name").isin(columns), "no-column").when(F.col("old") == F.col("value"), "same")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fairlead.functions.parse import cell_state, date_int
 from fairlead.functions.text import split_refs, strip
 from fairlead.operators.lookup import usable
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import skew_join
 
 ITEM = ["item_id", "kind", "row_id", "cluster_id", "column_name", "value", "confidence", "derivable", "note"]
 # The keys under which free-form findings hold the same thing, best first.
@@ -114,7 +114,7 @@ def derivable_fills(sheet: DataFrame, tag: str, facts: DataFrame, columns: list[
     known = facts.select(F.col("tag").alias("_t"), *[usable(F.col(c)).alias(f"_f_{c}") for c in columns])
     own = sheet.select("record_id", F.col(tag).alias("_t"), *[strip(F.col(c)).alias(c) for c in columns]).where("_t <> '' and _t <> 'unknown'")
     made = [F.when((F.col(c) == "") & F.col(f"_f_{c}").isNotNull(), F.struct(F.lit(c).alias("column_name"), F.col(f"_f_{c}").alias("value"))) for c in columns]
-    return salted_join(own, known, "_t").select("record_id", F.inline(F.filter(F.array(*made), lambda x: x.isNotNull())))
+    return skew_join(own, known, "_t").select("record_id", F.inline(F.filter(F.array(*made), lambda x: x.isNotNull())))
 
 
 def gap_targets(found: DataFrame, sheet: DataFrame, cluster: list[str]) -> DataFrame:

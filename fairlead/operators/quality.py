@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 
 from fairlead.functions.parse import NUMBER, date_int, number, placeholder_parts
 from fairlead.functions.text import looks_url, strip
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import skew_join
 from fairlead.schema import COORDINATES, COORDINATES_REF, REF_COLUMNS, REF_OF, VALUE_COLUMNS
 
 HIGH, MED, LOW = "HIGH", "MED", "LOW"
@@ -143,7 +143,7 @@ def lookup_mismatch(sheet: DataFrame, tag: str, facts: DataFrame, column: str) -
     """Cells of ``column`` that differ from the usable fact (tag, value) of the row's ``tag``; blank on either side passes."""
     known = facts.where("value <> '' and value <> 'AMBIGUOUS'").select(F.col("tag").alias("_t"), F.col("value").alias("_fact"))
     own = sheet.select(*KEYS, F.col(tag).alias("_t"), strip(F.col(column)).alias("value")).where("value <> '' and _t <> ''")
-    hit = salted_join(own, known, "_t").where(F.col("value") != F.col("_fact"))
+    hit = skew_join(own, known, "_t").where(F.col("value") != F.col("_fact"))
     return hit.select(*KEYS, F.lit(column).alias("column_name"), "value", F.lit("lookup-mismatch").alias("check_name"), F.lit(MED).alias("severity"))
 
 
@@ -167,10 +167,10 @@ def name_findings(sheet: DataFrame, tag: str) -> DataFrame:
     ph = sheet.select(*KEYS, strip(F.col("vessel_name")).alias("value"), placeholder_parts(F.col("vessel_name")).alias("p"), F.col(tag).alias("tag"), strip(F.col("shipowner")).alias("owner")).where("p is not null")
     ph = ph.select(*KEYS, "value", "p.label", "p.inner", "tag", "owner").withColumn("cluster", F.concat_ws("|", "tag", "owner"))
     labels = ph.where("tag <> ''").select("tag", "label").distinct().groupBy("tag").agg(F.array_sort(F.collect_list("label")).alias("labels")).where(F.size("labels") > 1)
-    drift = salted_join(ph, labels, "tag").withColumn("others", F.array_join(F.array_remove("labels", F.col("label")), "; "))
+    drift = skew_join(ph, labels, "tag").withColumn("others", F.array_join(F.array_remove("labels", F.col("label")), "; "))
     numbered = F.col("inner").rlike(r"\d\s*$")
     clusters = ph.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max(numbered.cast("int")).alias("some")).where("n > 1 and some = 1").select("cluster")
-    gap = salted_join(ph.where(~numbered & ~F.lower("inner").isin(DESCRIPTOR_TAILS)), clusters, "cluster")
+    gap = skew_join(ph.where(~numbered & ~F.lower("inner").isin(DESCRIPTOR_TAILS)), clusters, "cluster")
     done = lambda df, check, detail: df.select(*KEYS, F.lit("vessel_name").alias("column_name"), "value", F.lit(check).alias("check_name"), F.lit(LOW).alias("severity"), detail.alias("detail"))
     return done(drift, "name-builder-drift", F.col("others")).unionByName(done(gap, "name-ordinal-gap", F.col("inner")))
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fairlead.functions.text import strip, vessel_key
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import skew_join
 from fairlead.session import settle
 
 # Tolerance of sizes, absolute and relative, and the size below which a thing is small.
@@ -38,7 +38,7 @@ def name_join(roster: DataFrame, sheet: DataFrame, kind: str = "FSRU") -> DataFr
     """
     keys = name_keys(roster, "idx", "vessel_name", "ex_names").join(roster.select("idx", F.col("size").alias("_s")), "idx")
     own = sheet.select("pos", vessel_key(F.col("name")).alias("name_key"), F.col("size").alias("_b"), "vessel_type").where("name_key <> ''")
-    hits = salted_join(own, keys, "name_key").select("idx", "pos", F.coalesce("vessel_type", F.lit("")).alias("vessel_type"), size_distance(F.col("_s"), F.col("_b")).alias("distance"))
+    hits = skew_join(own, keys, "name_key").select("idx", "pos", F.coalesce("vessel_type", F.lit("")).alias("vessel_type"), size_distance(F.col("_s"), F.col("_b")).alias("distance"))
     rank = F.struct((F.col("vessel_type") != kind).alias("other"), "distance", "pos", "vessel_type")
     return hits.groupBy("idx").agg(F.min(rank).alias("m")).select("idx", F.col("m.pos").alias("pos"), F.col("m.vessel_type").alias("vessel_type"), F.col("m.distance").alias("distance"))
 
@@ -59,7 +59,7 @@ def suggest(roster: DataFrame, sheet: DataFrame, named: DataFrame, most_rounds:
     rows = settle(rows.join(used, "pos", "left").withColumn("gone", F.coalesce("gone", F.lit(1 << 60))).withColumn("cell", F.struct("t", "size", "year", "gone")))
     cells = rows.groupBy("cell").agg(F.first("tags").alias("tags")).select("cell", "cell.size", "cell.year", "cell.gone", "tags")
     askers = roster.join(named.select("idx"), "idx", "left_anti").select("idx", F.col("size").alias("s"), F.col("year").alias("y"), F.explode("tags").alias("tag")).where("s is not null")
-    met = salted_join(cells.select("cell", "size", "year", "gone", F.explode("tags").alias("tag")), askers, "tag").where(size_agrees(F.col("s"), F.col("size")) & (F.col("gone") > F.col("idx")))
+    met = skew_join(cells.select("cell", "size", "year", "gone", F.explode("tags").alias("tag")), askers, "tag").where(size_agrees(F.col("s"), F.col("size")) & (F.col("gone") > F.col("idx")))
     gap = F.when((F.coalesce("y", F.lit(0)) != 0) & (F.coalesce("year", F.lit(0)) != 0), F.abs(F.col("y") - F.col("year"))).otherwise(999)
     asked = settle(met.select("idx", F.to_json("cell").alias("cell"), gap.alias("gap"), F.abs(F.col("s") - F.col("size")).alias("far")).distinct())
     need = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("need"))

@@ -5,22 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Keys that are looked for one by one; any other key holds less than 1/MOST_HOT of the rows.
+MOST_HOT = 1_000
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = 0.002, salts: int = 32, least: int = 50_000) -> DataFrame:
-    """left joined with right, whose rows are few per key.
 
-    A key is hot if more than ``share`` of left's rows, and more than ``least``, have it, so there are at most 1/share
-    hot keys: that list is the only thing broadcast. Rows of hot keys are spread over ``salts`` parts by a hash of the
-    whole row, which a task that runs again after the loss of an executor finds the same; right repeats its rows for hot
-    keys only. The counts come from an aggregation that is combined before its shuffle. Null keys match nothing; for
-    how='left' they stay, and are spread as well.
+def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """left joined with right, whose rows are few per key: one row or so of ``right`` for each of left.
+
+    Each side is in the plan once. Adaptive execution broadcasts right if it turns out small, and otherwise splits the
+    partition of a hot key into as many tasks as its bytes ask for, null keys of a left join included. Where a session
+    has that switched off, salted_join() does the same with salts. Don't group by ``key`` right after: a partitioning
+    that is needed again is not split.
+    """
+    conf = left.sparkSession.conf
+    if all(str(conf.get(f"spark.sql.adaptive.{k}", "true")).lower() == "true" for k in ("enabled", "skewJoin.enabled")):
+        return left.join(right, key, how)
+    return salted_join(left, right, key, how)
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", part_rows: int = 50_000) -> DataFrame:
+    """left joined with right where every row of a hot key meets many of right's, so that bytes don't tell the work.
+
+    A key is hot if more than ``part_rows`` rows of left have it. The hot ones are counted beforehand, in one job that
+    reads the key column only and combines before its shuffle; the MOST_HOT most frequent are kept, a bounded list that
+    is broadcast. A hot key is spread over one part for each ``part_rows`` rows by a hash of the whole row, which a
+    task that runs again finds the same, and right repeats its rows for these keys, once for each part. Pass a settled
+    ``left``: counting must not compute it again. Null keys match nothing; for how='left' they stay, spread as well.
     """
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    most = left.agg(F.greatest(F.count(F.lit(1)) * F.lit(share), F.lit(float(least))).alias("_most"))
-    hot = counts.where(F.col("_n") > most.scalar()).select(F.col(key).alias("_hot"))
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part_rows)
+    hot = counts.orderBy(F.desc("_n"), key).limit(MOST_HOT).select(F.col(key).alias("_hot"), F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts"))
+    held = hot.collect()
+    if not held:
+        return left.join(right, key, how)
+    hot = F.broadcast(left.sparkSession.createDataFrame(held, hot.schema))
     whole = [f"`{n}`" for n, kind in left.dtypes if "map<" not in kind and kind != "variant"]
-    spread = F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), F.pmod(F.xxhash64(*whole), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    a = left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", spread).drop("_hot")
-    every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    b = right.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    salt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*whole), F.col("_parts")).cast("int")).otherwise(F.lit(0))
+    a = left.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").withColumn("_salt", salt).drop("_hot", "_parts")
+    every = F.when(F.col("_parts").isNotNull(), F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(F.array(F.lit(0)))
+    b = right.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(every)).drop("_hot", "_parts")
     return a.join(b, [key, "_salt"], how).drop("_salt")

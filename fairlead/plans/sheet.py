@@ -99,7 +99,7 @@ def tagged(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     df = rows_of(spark, sf)
     if columns:
         df = df.select(*dict.fromkeys([*columns, "shipowner", "shipbuilder"]))
-    return lookup.tag_names(lookup.tag_names(df, "shipowner", "owner_tag", owner_aliases(spark, sf)), "shipbuilder", "builder_tag", builder_aliases(spark, sf))
+    return lookup.tag_names(df, {("shipowner", "owner_tag"): owner_aliases(spark, sf), ("shipbuilder", "builder_tag"): builder_aliases(spark, sf)})
 
 
 # ---- scalar functions ---------------------------------------------------------------------------------------------
@@ -513,7 +513,7 @@ _PAIR = " UNION ALL ".join(
     " UNION ALL SELECT cell_id, column_name, 'off-vocab' FROM f WHERE v <> '' AND column_name IN (SELECT column_name FROM vocab) AND NOT EXISTS (SELECT 1 FROM vocab t WHERE t.column_name = f.column_name AND t.term = f.v)"
 )
 def q18_fill_consistency(spark, sf):
-    own = patch.salted_join(accepted(spark, sf).select("cell_id", "key", "column_name", X.strip(F.col("value")).alias("v")), by_key(spark, sf).select("key", "capacity_units", "price_currency"), "key").where("v <> ''")
+    own = patch.skew_join(accepted(spark, sf).select("cell_id", "key", "column_name", X.strip(F.col("value")).alias("v")), by_key(spark, sf).select("key", "capacity_units", "price_currency"), "key").where("v <> ''")
     terms = quality.vocabulary(table(spark, sf, "vocab"))
     off = F.lit(False)
     for c, ts in terms.items():
@@ -570,7 +570,7 @@ def m03_merge_facts(spark, sf):
 @query(f"WITH {TAGGED} SELECT record_id, {_USABLE('f.shipowner_country_area')} AS country FROM sheet s LEFT JOIN shipowner_facts f ON s.owner_tag = f.owner_tag")
 def j10_facts_lookup(spark, sf):
     known = _facts(spark, sf, "owner").select(F.col("tag").alias("owner_tag"), lookup.usable(F.col("value")).alias("country"))
-    return patch.salted_join(tagged(spark, sf, "record_id"), known, "owner_tag", "left").select("record_id", "country")
+    return patch.skew_join(tagged(spark, sf, "record_id"), known, "owner_tag", "left").select("record_id", "country")
 
 
 @query(
@@ -582,7 +582,7 @@ def j16_sibling_country(spark, sf):
     given = sheet.where((X.strip(F.col("shipowner_country_area")) != "") & ~F.col("owner_tag").isin("", "unknown"))
     known = lookup.derive_unambiguous(given, "owner_tag", "shipowner_country_area", "shipowner_country_area_ref", "record_id").where(F.col("value") != lookup.AMBIGUOUS)
     own = sheet.where(X.strip(F.col("shipowner_country_area")) == "").select("record_id", F.col("owner_tag").alias("tag"))
-    return patch.salted_join(own, known, "tag").select("record_id", F.col("value").alias("country"), "ref")
+    return patch.skew_join(own, known, "tag").select("record_id", F.col("value").alias("country"), "ref")
 
 
 _DERIVED = " UNION ALL ".join(f"SELECT record_id, '{c}' AS column_name, {_USABLE('f.' + c)} AS value FROM sheet s JOIN shipbuilder_facts f ON s.builder_tag = f.builder_tag WHERE {S('s.' + c)} = '' AND {_USABLE('f.' + c)} IS NOT NULL" for c in YARD_BLOCK)

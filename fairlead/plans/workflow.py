@@ -11,7 +11,7 @@ from fairlead.functions import parse as P
 from fairlead.functions import text as X
 from fairlead.operators import gate, lookup, patch, proposals, quality, reconcile
 from fairlead.operators.orphans import whole_number
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import skew_join
 from fairlead.plans import problems
 from fairlead.plans import sheet as SH
 from fairlead.plans.sheet import S, SQ, TAGGED, VESSEL_KEY, accepted, by_key, rows_of, tagged
@@ -154,15 +154,15 @@ _FLEET_TAG = "fb AS (SELECT fleet_id, coalesce((SELECT arg_min(k, o) FROM builde
 
 @query(f"WITH {TAGGED}, {_FLEET_TAG} SELECT fleet_id, " + ", ".join(f"coalesce({SH._USABLE('f.' + c)}, '') AS {c}" for c in YARD_BLOCK) + " FROM fb LEFT JOIN shipbuilder_facts f ON fb.tag = f.builder_tag")
 def p04_yard_overlay(spark, sf):
-    fleet = lookup.tag_names(table(spark, sf, "giignl_fsru_fleet").select("fleet_id", "builder"), "builder", "tag", SH.builder_aliases(spark, sf))
+    fleet = lookup.tag_names(table(spark, sf, "giignl_fsru_fleet").select("fleet_id", "builder"), {("builder", "tag"): SH.builder_aliases(spark, sf)})
     facts = lookup.facts_table(table(spark, sf, "shipbuilder_facts").withColumnRenamed("builder_tag", "tag"), "tag")
-    return salted_join(fleet, facts, "tag", "left").select("fleet_id", *[F.coalesce(lookup.usable(F.col(c)), F.lit("")).alias(c) for c in YARD_BLOCK])
+    return skew_join(fleet, facts, "tag", "left").select("fleet_id", *[F.coalesce(lookup.usable(F.col(c)), F.lit("")).alias(c) for c in YARD_BLOCK])
 
 
 @query(f"WITH {TAGGED} SELECT record_id, CASE WHEN owner_tag = 'zelbrastad sea transport' THEN 'ZST' ELSE coalesce(shipowner, '') END AS display FROM sheet")
 def p06_display_names(spark, sf):
     shown = spark.createDataFrame([("zelbrastad sea transport", "ZST"), *lookup.OWNER_DISPLAY], "owner_tag string, shown string")
-    return salted_join(tagged(spark, sf, "record_id"), shown, "owner_tag", "left").select("record_id", F.coalesce("shown", "shipowner", F.lit("")).alias("display"))
+    return skew_join(tagged(spark, sf, "record_id"), shown, "owner_tag", "left").select("record_id", F.coalesce("shown", "shipowner", F.lit("")).alias("display"))
 
 
 _GRID = ["capacity", "cargo_type", "vessel_type", "delivery_year"]
@@ -184,7 +184,7 @@ def p09_styled_cells(spark, sf):
 @query(f"WITH {SH._KEYED}, {_DEC} SELECT decision_id, s.record_id, {S('s.vessel_name')} AS vessel_name FROM last d LEFT JOIN byrow s ON {SH._WHOLE.format(c='d.row_id')} = s.key")
 def j01_row_lookup(spark, sf):
     d = SH._decisions(spark, sf).select("decision_id", whole_number(F.col("row_id")).alias("key"))
-    return salted_join(d, by_key(spark, sf).select("key", "record_id", "vessel_name"), "key", "left").select("decision_id", "record_id", F.when(F.col("record_id").isNotNull(), s("vessel_name")).otherwise("").alias("vessel_name"))
+    return skew_join(d, by_key(spark, sf).select("key", "record_id", "vessel_name"), "key", "left").select("decision_id", "record_id", F.when(F.col("record_id").isNotNull(), s("vessel_name")).otherwise("").alias("vessel_name"))
 
 
 _KEYS_OF = "SELECT {i} AS id, {b} AS builder, {h} AS hull, {o} AS owner, {m} AS month FROM {t}"
@@ -250,7 +250,7 @@ def j24_id_repairs(spark, sf):
     """Rows with an id and the first row without one of the same name, yard and owner: candidates for people to look at."""
     own = tagged(spark, sf, "record_id", "vessel_name", "imo_number").select("record_id", F.concat_ws("|", X.vessel_key(F.coalesce("vessel_name", F.lit(""))), "owner_tag", "builder_tag").alias("key"), P.digits(F.col("imo_number")).alias("imo"), X.vessel_key(F.coalesce("vessel_name", F.lit(""))).alias("n"), "owner_tag", "builder_tag").where("n <> '' and owner_tag <> '' and builder_tag <> ''")
     bare = own.where("imo = ''").groupBy("key").agg(F.min("record_id").alias("right_id"))
-    return salted_join(own.where("imo <> ''").select("record_id", "key"), bare, "key").select(F.col("record_id").alias("left_id"), "right_id")
+    return skew_join(own.where("imo <> ''").select("record_id", "key"), bare, "key").select(F.col("record_id").alias("left_id"), "right_id")
 
 
 # ---- aggregates, sorts, sets --------------------------------------------------------------------------------------

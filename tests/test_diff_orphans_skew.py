@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fairlead.operators.diff import diff_copies
 from fairlead.operators.orphans import orphan_references, orphan_report, references, whole_number
-from fairlead.operators.skew import salted_join
+from fairlead.operators.skew import salted_join, skew_join
 
 T = [datetime(2024, 1, d) for d in range(1, 29)]
 
@@ -50,6 +50,17 @@ def test_salted_join_equals_join(spark):
     left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 200).alias("k"), "id")
     right = spark.createDataFrame([(k, f"r{k}") for k in range(100)] + [(7, "again")], "k long, r string")
     for how in ("inner", "left"):
-        a = salted_join(left, right, "k", how, least=100).groupBy("k", "r").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s"))
+        a = salted_join(left, right, "k", how, part_rows=100).groupBy("k", "r").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s"))
         b = left.join(right, "k", how).groupBy("k", "r").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s"))
         assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_skew_join_without_adaptive_splitting(spark):
+    left = spark.range(500).select((F.col("id") % 3).alias("k"), "id")
+    right = spark.createDataFrame([(0, "a"), (1, "b")], "k long, r string")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert skew_join(left, right, "k").count() == 334 and skew_join(left, right, "k", "left").count() == 500
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+    assert skew_join(left, right, "k").count() == 334 and skew_join(left, right, "k", "left").count() == 500

@@ -32,7 +32,7 @@ def test_without_automaton():
 
 def test_tag_names_keeps_rows(spark):
     rows = spark.createDataFrame([(1, "DSME"), (2, None), (3, "DSME"), (4, "")], "id int, n string")
-    assert {r.id: r.t for r in L.tag_names(rows, "n", "t", L.BUILDER_ALIASES).collect()} == {1: "hanwha-ocean", 2: "", 3: "hanwha-ocean", 4: ""}
+    assert {r.id: r.t for r in L.tag_names(rows, {("n", "t"): L.BUILDER_ALIASES}).collect()} == {1: "hanwha-ocean", 2: "", 3: "hanwha-ocean", 4: ""}
 
 
 def test_alias_table_is_bounded(spark, monkeypatch):
