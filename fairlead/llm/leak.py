@@ -1,174 +1,181 @@
 """Evaluation items that leak into documents.
 
-Texts are brought to one form, cut into words and turned into templates: number words and digits become <num>, the
-measure words <unit>, and words that the items write only with a capital inside sentences <name>; runs of one
-placeholder count once. Windows of four template tokens of every item are hashed, and every window of every document is
-joined with them. By the q-gram lemma, a text that holds an item with at most k changed words keeps all but 4k of its
-windows, and 15 words in a row keep a known number too, so a (document, item) with fewer common windows cannot be a
-case; all others are compared word by word, and the slots of those that agree only as templates for consistency.
+Texts are brought to one form, cut into words and turned into templates, word by word, by what a word is and not by
+lists of the items: what begins with a digit or is an English number word becomes <num>, the word after a number <unit>
+unless it is a function word, and in a second template a capitalised word inside a sentence <name>, runs of one
+placeholder counting once. Windows of up to four template words of every item are hashed and joined with those of the
+documents, of which a Bloom filter of fixed size lets only likely ones pass the scan.
+
+The first template has one word for each word of the text, so the q-gram lemma holds for it: a text that holds an item
+with at most k changed words keeps all but a known number of its windows, and 15 words in a row keep a known number too.
+A (document, item) with fewer common windows is no case; all others are compared word by word. The second template finds
+items with other numbers and names: a document in which it recurs is reported if every slot value of the item stands for
+one value of the document throughout (the slots are consistent), and left out otherwise.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fairlead.llm.canon import canonical
+from fairlead.operators.skew import skew_join
 from fairlead.schema import require
+from fairlead.session import settle
 
-# English number words and measure words.
-NUMBERS = (
+# English number words, and function words, which are no units.
+NUMBERS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
-    "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
-).split()
-UNITS = (
-    "tonnes tons barrels casks crates drums bundles pallets sacks ingots cylinders spools fathoms cables metres meters "
-    "feet litres liters gallons miles knots kilograms grams pounds bags boxes hours days weeks months years dollars cbm"
-).split()
-MARKUP = re.compile(r"<[^<>]{1,200}>|&[a-z]{2,8};|&#\d{1,6};")
-WORD = re.compile(r"[^\W_]+")
-NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
+    "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half".split()
+)
+FUNCTION_WORDS = frozenset(
+    "a an the and or but nor of to in on at by for from with without as than that this these those which who whom whose "
+    "what when where why how is are was were be been being has have had do does did will would shall should can could may "
+    "might must not no so if then it its he she they we you i his her their our your my him them us me".split()
+)
+MARKUP = re.compile(r"<[^<>]{1,200}>|&[a-z]{2,8};|&#\d{1,6};", re.IGNORECASE)
+#: Words, and the marks after which a capital is no sign of a name.
+TOKEN = re.compile(r"[^\W_]+|[.!?:;\n]")
 WINDOW = 4
+NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
+NUM_HASH, UNIT_HASH, NAME_HASH = (np.uint64(xxhash.xxh3_64_intdigest(p)) for p in (NUM, UNIT, NAME))
+#: Bits of the Bloom filter: 16 for each window of an item, between these bounds (16 MB at most).
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
+#: Candidate documents are picked from the corpus by a broadcast of their ids up to so many (16 MB), else by a join.
+MOST_HELD_IDS = 2_000_000
 
 
-def words_of(text: str) -> list[str]:
-    """Words in one form: markup, punctuation, case, line breaks and disguised characters leave no trace."""
-    bare = canonical(text).casefold()
+def tokens_in(text: str) -> list[str]:
+    """Words as written and sentence marks, in one form: markup and disguised characters leave no trace."""
+    bare = canonical(text)
     if "<" in bare or "&" in bare:
         bare = MARKUP.sub(" ", bare)
-    return WORD.findall(bare.replace("'", "").replace("’", ""))
-
-
-class Index:
-    """Items compiled for lookup."""
-
-    def __init__(self, items: list[tuple[int, str]], run: int = 15, one_in: int = 6):
-        self.run, self.one_in = run, one_in
-        self.words = {i: w for i, t in items if t and (w := words_of(t))}
-        self.kind = dict.fromkeys(NUMBERS, NUM) | dict.fromkeys(UNITS, UNIT) | dict.fromkeys(self._names(items), NAME)
-        tokens = {i: self.template(w)[0] for i, w in self.words.items()}
-        self.tokens = tokens
-        self.vocab = {t: k for k, t in enumerate(dict.fromkeys(t for ts in tokens.values() for t in ts), 1)}
-        self.base = np.int64(len(self.vocab) + 1)
-        pairs, seen = [], set()
-        self.least: dict[int, int] = {}
-        for i, ts in tokens.items():
-            keys = self.keys(ts)
-            distinct = set(keys.tolist())
-            pairs += [(k, i) for k in distinct]
-            edits = len(self.words[i]) // one_in
-            whole = len(distinct) - WINDOW * edits
-            # The fewest distinct windows that any run of ``run`` words leaves.
-            part = min((len(set(self.keys(self.template(self.words[i][a : a + run])[0]).tolist())) for a in range(len(self.words[i]) - run + 1)), default=len(distinct))
-            self.least[i] = max(1, min(whole, part))
-        pairs.sort()
-        self.hashes = np.array([k for k, _ in pairs], np.int64)
-        self.owner = np.array([i for _, i in pairs], np.int64)
-        self.grams = defaultdict(set)
-        for i, w in self.words.items():
-            for a in range(len(w) - run + 1):
-                self.grams[tuple(w[a : a + run])].add(i)
-
-    @staticmethod
-    def _names(items: list[tuple[int, str]]) -> set[str]:
-        low, high = set(), set()
-        for _, text in items:
-            text = canonical(text or "")
-            for m in WORD.finditer(text):
-                before = text[max(0, m.start() - 2) : m.start()]
-                if m.group()[0].isupper() and before[-1:] == " " and before[:1].isalnum():
-                    high.add(m.group().casefold())
-                elif m.group()[0].islower():
-                    low.add(m.group())
-        return high - low
-
-    def template(self, words: list[str]) -> tuple[list[str], list[int]]:
-        """Template tokens and the word each begins at."""
-        out, at, last = [], [], None
-        get = self.kind.get
-        for k, w in enumerate(words):
-            t = NUM if w[0].isdigit() else get(w, w)
-            if t is last and t in (NUM, UNIT, NAME):
-                continue
-            out.append(t)
-            at.append(k)
-            last = t
-        return out, at
-
-    def keys(self, tokens: list[str]) -> np.ndarray:
-        """One key for each window whose tokens all occur in items, else -1. Collisions only add work: a word check follows."""
-        ids = np.fromiter((self.vocab.get(t, 0) for t in tokens), np.int64, len(tokens))
-        if len(ids) < WINDOW:
-            return np.empty(0, np.int64)
-        n = len(ids) - WINDOW + 1
-        key, bad = np.zeros(n, np.int64), np.zeros(n, bool)
-        for k in range(WINDOW):
-            key = key * self.base + ids[k : k + n]
-            bad |= ids[k : k + n] == 0
-        key &= np.int64(0x7FFFFFFFFFFFFFFF)
-        key[bad] = -1
-        return key
-
-    def find(self, text: str) -> list[tuple[int, str, int, int, bool]]:
-        """(item, kind, longest run, fewest edits, slots consistent) for each item that the text holds."""
-        words = words_of(text)
-        tokens, at = self.template(words)
-        keys = self.keys(tokens)
-        keys = np.unique(keys[keys >= 0])
-        if not len(keys) or not len(self.hashes):
-            return []
-        lo, hi = np.searchsorted(self.hashes, keys, "left"), np.searchsorted(self.hashes, keys, "right")
-        hits: Counter = Counter()
-        for a, b in zip(lo[lo < hi], hi[lo < hi], strict=True):
-            hits.update(self.owner[a:b].tolist())
-        near = [i for i, n in hits.items() if n >= self.least[i]]
-        if not near:
-            return []
-        runs: set[int] = set()
-        for a in range(len(words) - self.run + 1):
-            runs |= self.grams.get(tuple(words[a : a + self.run]), set())
-        out = []
-        for i in near:
-            mine = self.words[i]
-            edits = fewest_edits(mine, words)
-            if edits * self.one_in <= len(mine):
-                out.append((i, "whole", longest_run(mine, words), edits, True))
-            elif i in runs:
-                out.append((i, "part", longest_run(mine, words), edits, True))
-            elif fewest_edits(self.tokens[i], tokens) * self.one_in <= len(self.tokens[i]):
-                out.append((i, "template", longest_run(mine, words), edits, self.consistent(i, words, tokens, at)))
-        return out
-
-    def consistent(self, item: int, words: list[str], tokens: list[str], at: list[int]) -> bool:
-        """Whether each slot value of the item stands for one value of the document wherever the templates align."""
-        mine, own = self.template(self.words[item])
-        value = lambda ws, starts, k: tuple(ws[starts[k] : starts[k + 1] if k + 1 < len(starts) else len(ws)])
-        seen: dict[tuple, tuple] = {}
-        for a, b, n in SequenceMatcher(None, mine, tokens, autojunk=False).get_matching_blocks():
-            for k in range(n):
-                if mine[a + k] in (NUM, NAME):
-                    x, y = value(self.words[item], own, a + k), value(words, at, b + k)
-                    if seen.setdefault((mine[a + k], x), y) != y:
-                        return False
-        return True
-
-
-def fewest_edits(pattern: list[str], text: list[str]) -> int:
+    return TOKEN.findall(bare.replace("'", "").replace("’", ""))
+
+
+def words_of(text: str) -> list[str]:
+    """Words in one form: markup, punctuation, case, line breaks and disguised characters leave no trace."""
+    return [t.casefold() for t in tokens_in(text) if t not in ".!?:;\n"]
+
+
+class Reader:
+    """Turns texts into templates; remembers what it found out about each distinct token."""
+
+    MOST = 400_000
+
+    def __init__(self) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.hash = np.zeros(1 << 12, np.uint64)
+        self.flags = np.zeros((4, 1 << 12), bool)  # mark, number, function word, capital
+
+    def _add(self, token: str) -> int:
+        k = self.memo[token] = len(self.memo)
+        if k == len(self.hash):
+            self.hash = np.concatenate([self.hash, np.zeros_like(self.hash)])
+            self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)], 1)
+        word = token.casefold()
+        self.hash[k] = xxhash.xxh3_64_intdigest(word)
+        self.flags[:, k] = token in ".!?:;\n", word[0].isdigit() or word in NUMBERS, word in FUNCTION_WORDS, token[0].isupper()
+        return k
+
+    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Words, and for each its hash in the first template and its kind: 0 a word, 1 number, 2 unit, 3 name."""
+        if len(self.memo) > self.MOST:
+            self._clear()
+        tokens = tokens_in(text)
+        get = self.memo.get
+        at = np.array([self._add(t) if (k := get(t)) is None else k for t in tokens], np.intp)
+        mark, number, function, capital = self.flags[:, at]
+        begins = np.ones(len(at), bool)
+        begins[1:] = mark[:-1]
+        keep = ~mark
+        words = [t.casefold() for t, m in zip(tokens, mark, strict=True) if not m]
+        hashes, number, function, capital, begins = self.hash[at][keep], number[keep], function[keep], capital[keep], begins[keep]
+        unit = np.zeros(len(hashes), bool)
+        unit[1:] = number[:-1]
+        unit &= ~number & ~function
+        name = capital & ~begins & ~number & ~unit & ~function
+        kinds = np.where(number, 1, np.where(unit, 2, np.where(name, 3, 0))).astype(np.uint8)
+        return words, np.where(number, NUM_HASH, np.where(unit, UNIT_HASH, hashes)), kinds
+
+
+def windows(hashes: np.ndarray, size: int, family: int = 0) -> np.ndarray:
+    """A key for each window of ``size`` template words."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    key = np.full(n, size * 2 + family, np.uint64)
+    for k in range(size):
+        key = (key ^ hashes[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key
+
+
+def collapsed(hashes: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The second template: names are placeholders too and runs of one count once. Its hashes and where each begins."""
+    h = np.where(kinds == 3, NAME_HASH, hashes)
+    first = np.ones(len(h), bool)
+    first[1:] = (kinds[1:] == 0) | (h[1:] != h[:-1])
+    at = np.flatnonzero(first)
+    return h[at], at
+
+
+def plan(words: list[str], hashes: np.ndarray, kinds: np.ndarray, literal: np.ndarray, run: int, one_in: int) -> list[tuple[int, int, np.ndarray, int]]:
+    """(family, window size, distinct keys, least common ones) by which an item is looked for.
+
+    An edit changes one template word and may change whether the next one is a unit, so it touches size + 1 windows; what
+    stands before the item in a document may change its first word. Sizes go down until some window must be left; single
+    words are compared without placeholders, so nothing but the edit touches them.
+    """
+    n, edits = len(words), len(words) // one_in
+    for size in range(WINDOW, 0, -1):
+        touched = (size + 1) * edits + 1 if size > 1 else edits
+        if n - size + 1 - touched >= 1:
+            break
+    keys = windows(hashes, size) if size > 1 else windows(literal, 1)
+    distinct = np.unique(keys)
+    least = max(1, len(distinct) - touched)
+    for a in range(n - run + 1):  # the fewest that any run of ``run`` words leaves, its first word aside
+        least = min(least, len(np.unique(keys[a + (size > 1) : a + run - size + 1])))
+    out = [(0, size, distinct, least)]
+    h, _ = collapsed(hashes, kinds)
+    if len(h) >= WINDOW and (kinds > 0).any():
+        distinct = np.unique(windows(h, WINDOW, 1))
+        out.append((1, WINDOW, distinct, max(1, len(distinct) - (WINDOW + 1) * (len(h) // one_in) - 1)))
+    return out
+
+
+def literal_hashes(words: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+
+
+def fewest_edits(pattern: list, text: list) -> int:
     """Least number of words changed, dropped or added to find pattern somewhere in text; bit-parallel over the pattern."""
-    where: dict[str, int] = {}
+    return best_place(pattern, text)[0]
+
+
+def best_place(pattern: list, text: list) -> tuple[int, int]:
+    """fewest_edits() and the number of words of text after which it is first reached."""
+    where: dict = {}
     for k, x in enumerate(pattern):
         where[x] = where.get(x, 0) | 1 << k
     full, high = (1 << len(pattern)) - 1, 1 << (len(pattern) - 1)
     up, down, now = full, 0, len(pattern)
-    best = now
-    for x in text:
+    best, place = now, 0
+    for at, x in enumerate(text, 1):
         eq = where.get(x, 0)
         vertical = eq | down
         across = (((eq & up) + up) ^ up) | eq
@@ -176,8 +183,9 @@ def fewest_edits(pattern: list[str], text: list[str]) -> int:
         now += bool(plus & high) - bool(minus & high)
         plus, minus = plus << 1 & full, minus << 1 & full
         up, down = minus | (~(vertical | plus) & full), plus & vertical
-        best = min(best, now)
-    return best
+        if now < best:
+            best, place = now, at
+    return best, place
 
 
 def longest_run(pattern: list[str], text: list[str]) -> int:
@@ -191,36 +199,131 @@ def longest_run(pattern: list[str], text: list[str]) -> int:
     return best
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", run: int = 15, one_in: int = 6, block: int = 20_000, block_bytes: int = 64 << 20) -> DataFrame:
-    """(doc_id, item_id, kind, longest_run, edits, slots_consistent) of each document that holds an item.
+class Text:
+    """A text, read: what the comparison of a document with an item needs."""
+
+    def __init__(self, text: str, reader: Reader):
+        self.words, hashes, self.kinds = reader.read(text)
+        h, at = collapsed(hashes, self.kinds)
+        self.tokens, self.at = h.tolist(), at.tolist()
+
+    def value(self, k: int) -> tuple[str, ...]:
+        """The words that the k-th token of the second template stands for."""
+        return tuple(self.words[self.at[k] : self.at[k + 1] if k + 1 < len(self.at) else len(self.words)])
+
+
+def consistent(item: Text, doc: Text, end: int) -> bool:
+    """Whether each slot value of the item stands for one value of the document, where the templates align before token ``end``."""
+    begin = max(0, end - len(item.tokens) - len(item.tokens) // 3)
+    seen: dict[tuple, tuple] = {}
+    for a, b, n in SequenceMatcher(None, item.tokens, doc.tokens[begin:end], autojunk=False).get_matching_blocks():
+        for k in range(n):
+            kind = int(item.kinds[item.at[a + k]])
+            if kind in (1, 3) and seen.setdefault((kind, item.value(a + k)), v := doc.value(begin + b + k)) != v:
+                return False
+    return True
 
-    kind: whole (at most one word in ``one_in`` changed, dropped or added), part (``run`` words in a row), template
-    (neither, but the item's template does; slots_consistent then tells a re-parameterised item from a mere likeness).
-    Documents are read once per block of items, whole and where they lie: nothing of them is shuffled. Items are a
-    query set; they reach the executors in blocks of at most ``block`` items and ``block_bytes`` of text, so that what
-    is broadcast is bounded for any number of them. Null and empty texts on either side hold nothing.
+
+def compare(item: Text, doc: Text, run: int = 15, one_in: int = 6) -> tuple[str, int, int] | None:
+    """(kind, longest run, fewest edits) of a document that holds an item, else None."""
+    mine = item.words
+    if not mine:
+        return None
+    edits, longest = fewest_edits(mine, doc.words), longest_run(mine, doc.words)
+    if edits * one_in <= len(mine):
+        return "whole", longest, edits
+    if longest >= run:
+        return "part", longest, edits
+    if len(item.tokens) >= WINDOW and (item.kinds > 0).any():
+        off, end = best_place(item.tokens, doc.tokens)
+        if off * one_in <= len(item.tokens) and consistent(item, doc, end):
+            return "reparameterised", longest, edits
+    return None
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", run: int = 15, one_in: int = 6) -> DataFrame:
+    """(doc_id, item_id, kind, longest_run, edits) of each document that holds an item.
+
+    kind: whole (at most one word in ``one_in`` changed, dropped or added), part (``run`` words in a row) or
+    reparameterised (neither, but the item's template with consistent slots; names count as slots where both texts
+    write them with a capital). Items of any length are found; null and empty texts, and texts without a word, hold
+    nothing and are in nothing. Documents are scanned once for windows and once for the texts of candidates; only the
+    latter are shuffled. Of each item the windows most frequent in the documents, up to half of those that a case must
+    share, are left out of the join and the bound lowered by their number, which loses nothing. What is broadcast is a
+    Bloom filter of at most MOST_BITS and candidate ids up to MOST_HELD_IDS.
     """
-    docs = require(docs, key, text)
-    rows = require(items, item_key, item_text).where(F.col(item_text).isNotNull() & (F.col(item_text) != "")).distinct()
-    size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0))).head()
-    blocks = max(1, -(-size[0] // block), -(-size[1] // block_bytes))
-    schema = f"{key} bigint, {item_key} bigint, kind string, longest_run int, edits int, slots_consistent boolean"
-    found = None
-    for b in range(blocks):
-        part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64(item_key), F.lit(blocks)) == b)
-        held = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in part.collect()])
-
-        def scan(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            index = Index(held.value, run, one_in)
-            for batch in batches:
-                out = [(i, *f) for i, t in zip(batch[key], batch[text], strict=True) if isinstance(t, str) and t for f in index.find(t)]
-                yield pd.DataFrame(out, columns=[key, item_key, "kind", "longest_run", "edits", "slots_consistent"])
-
-        one = docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()).mapInPandas(scan, schema)
-        found = one if found is None else found.unionByName(one)
-    return found
+    spark = docs.sparkSession
+    docs = require(docs, key, text).where(F.col(text).isNotNull() & F.col(key).isNotNull())
+    rows = require(items, item_key, item_text).where(F.col(item_text).isNotNull() & F.col(item_key).isNotNull()).distinct()
+    numbered = rows.select(F.col(item_key).alias("_item"), F.col(item_text).alias("_text"), F.xxhash64(item_text).alias("_version"))
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader()
+        for batch in batches:
+            out = []
+            for i, v, t in zip(batch["_item"], batch["_version"], batch["_text"], strict=True):
+                words, hashes, kinds = reader.read(t)
+                if words:
+                    out += [(i, v, f, size, keys.view(np.int64).tolist(), least) for f, size, keys, least in plan(words, hashes, kinds, literal_hashes(words), run, one_in)]
+            yield pd.DataFrame(out, columns=["_item", "_version", "family", "size", "keys", "least"])
+
+    parsed = numbered.mapInPandas(parse, "_item bigint, _version bigint, family int, size int, keys array<bigint>, least int")
+    sought = settle(parsed.select("_item", "_version", "family", "size", "least", F.explode("keys").alias("key")))
+    shape = sought.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.struct("family", "size")).alias("sizes")).head()
+    bits = LEAST_BITS
+    while bits < min(16 * shape.n, MOST_BITS):
+        bits *= 2
+    probes = F.array(F.pmod("key", F.lit(bits)), F.pmod(F.shiftrightunsigned("key", 29), F.lit(bits)))
+    at = sought.select(F.explode(probes).alias("at")).select(F.expr("cast(at div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
+    held = at.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    filled = np.zeros(bits // 64, np.int64)
+    filled[held["word"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64)
+    bloom, shapes = spark.sparkContext.broadcast(filled.view(np.uint64)), [(s.family, s.size) for s in shape.sizes]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader, table = Reader(), bloom.value
+        mask, six, one = np.uint64(bits - 1), np.uint64(6), np.uint64(1)
+        hit = lambda at: (table[at >> six] >> (at & np.uint64(63))) & one
+        for batch in batches:
+            ids, keys = [], []
+            for i, t in zip(batch[key], batch[text], strict=True):
+                words, hashes, kinds = reader.read(t)
+                made = []
+                for family, size in shapes:
+                    h = collapsed(hashes, kinds)[0] if family else literal_hashes(words) if size == 1 else hashes
+                    made.append(windows(h, size, family))
+                made = np.concatenate(made) if made else np.empty(0, np.uint64)
+                made = made[hit(made & mask).astype(bool)]
+                made = np.unique(made[hit(made >> np.uint64(29) & mask).astype(bool)])
+                ids.append(np.full(len(made), i, np.int64))
+                keys.append(made.view(np.int64))
+            yield pd.DataFrame({"_doc": np.concatenate(ids) if ids else np.empty(0, np.int64), "key": np.concatenate(keys) if keys else np.empty(0, np.int64)})
+
+    hits = settle(docs.select(F.col(key).cast("bigint").alias(key), text).mapInPandas(scan, "_doc bigint, key bigint").distinct())
+    often = hits.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    common_first = W.partitionBy("_item", "_version", "family").orderBy(F.desc("often"), "key")  # the windows of one item
+    kept = sought.join(often, "key").withColumn("place", F.row_number().over(common_first)).withColumn("spare", F.expr("cast(least div 2 as int)")).where("place > spare")
+    met = skew_join(hits, kept.select("key", "_item", "_version", "family", (F.col("least") - F.col("spare")).alias("need")), "key")
+    pairs = settle(met.groupBy("_doc", "_item", "_version", "family", "need").agg(F.count(F.lit(1)).alias("n")).where("n >= need").select("_doc", "_item", "_version").distinct())
+
+    asked = pairs.join(numbered, ["_item", "_version"]).groupBy("_doc").agg(F.collect_list(F.struct("_item", "_text")).alias("asked"))
+    ids = pairs.select(F.col("_doc").alias(key)).distinct()
+    few = ids.limit(MOST_HELD_IDS + 1).count() <= MOST_HELD_IDS
+    near = docs.join(F.broadcast(ids) if few else ids, key, "left_semi").select(F.col(key).cast("bigint").alias("_doc"), F.col(text).alias("_whole"))
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader()
+        read = lru_cache(maxsize=4096)(lambda t: Text(t, reader))
+        for batch in batches:
+            out = []
+            for i, whole, asked_ in zip(batch["_doc"], batch["_whole"], batch["asked"], strict=True):
+                doc = Text(whole, reader)
+                out += [(i, a["_item"], *got) for a in asked_ if (got := compare(read(a["_text"]), doc, run, one_in))]
+            yield pd.DataFrame(out, columns=[key, item_key, "kind", "longest_run", "edits"])
+
+    return near.join(asked, "_doc").mapInPandas(verify, f"{key} bigint, {item_key} bigint, kind string, longest_run int, edits int")
 
 
 def leaked(found: DataFrame) -> DataFrame:
-    """(doc_id, item_id) of texts held wholly or partly, without those that are alike only as templates."""
-    return found.where(F.col("kind") != "template").select("doc_id", "item_id").distinct()
+    """(doc_id, item_id) of texts held wholly or partly, without items that recur with other numbers and names."""
+    return found.where(F.col("kind") != "reparameterised").select("doc_id", "item_id").distinct()
