@@ -91,25 +91,35 @@ class Reader:
         self.flags[:, k] = token in ".!?:;\n", word[0].isdigit() or word in NUMBERS, word in FUNCTION_WORDS, token[0].isupper()
         return k
 
-    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Words, and for each its hash in the first template and its kind: 0 a word, 1 number, 2 unit, 3 name."""
+    def codes(self, tokens: list[str]) -> np.ndarray:
         if len(self.memo) > self.MOST:
             self._clear()
-        tokens = tokens_in(text)
         get = self.memo.get
-        at = np.array([self._add(t) if (k := get(t)) is None else k for t in tokens], np.intp)
+        return np.array([self._add(t) if (k := get(t)) is None else k for t in tokens], np.intp)
+
+    def templates(self, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of texts end to end, ``first`` at their first tokens: which tokens are words, and of these the hash as
+        written, the hash in the first template and the kind: 0 a word, 1 number, 2 unit, 3 name."""
         mark, number, function, capital = self.flags[:, at]
-        begins = np.ones(len(at), bool)
-        begins[1:] = mark[:-1]
+        begins = first.copy()
+        begins[1:] |= mark[:-1]
         keep = ~mark
-        words = [t.casefold() for t, m in zip(tokens, mark, strict=True) if not m]
-        hashes, number, function, capital, begins = self.hash[at][keep], number[keep], function[keep], capital[keep], begins[keep]
-        unit = np.zeros(len(hashes), bool)
-        unit[1:] = number[:-1]
+        opens = np.cumsum(first)[keep]  # the text of each word
+        plain, number, function, capital, begins = self.hash[at][keep], number[keep], function[keep], capital[keep], begins[keep]
+        unit = np.zeros(len(plain), bool)
+        unit[1:] = number[:-1] & (opens[1:] == opens[:-1])
         unit &= ~number & ~function
         name = capital & ~begins & ~number & ~unit & ~function
         kinds = np.where(number, 1, np.where(unit, 2, np.where(name, 3, 0))).astype(np.uint8)
-        return words, np.where(number, NUM_HASH, np.where(unit, UNIT_HASH, hashes)), kinds
+        return keep, plain, np.where(number, NUM_HASH, np.where(unit, UNIT_HASH, plain)), kinds
+
+    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The words of one text, and of each what templates() says."""
+        tokens = tokens_in(text)
+        first = np.zeros(len(tokens), bool)
+        first[:1] = True
+        keep, plain, hashes, kinds = self.templates(self.codes(tokens), first)
+        return [t.casefold() for t, k in zip(tokens, keep, strict=True) if k], plain, hashes, kinds
 
 
 def windows(hashes: np.ndarray, size: int, family: int = 0) -> np.ndarray:
@@ -124,11 +134,16 @@ def windows(hashes: np.ndarray, size: int, family: int = 0) -> np.ndarray:
     return key
 
 
-def collapsed(hashes: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The second template: names are placeholders too and runs of one count once. Its hashes and where each begins."""
+def collapsed(hashes: np.ndarray, kinds: np.ndarray, opens: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The second template: names are placeholders too and runs of one count once. Its hashes and where each begins.
+
+    ``opens``: the text of each word, where texts stand end to end.
+    """
     h = np.where(kinds == 3, NAME_HASH, hashes)
     first = np.ones(len(h), bool)
     first[1:] = (kinds[1:] == 0) | (h[1:] != h[:-1])
+    if opens is not None:
+        first[1:] |= opens[1:] != opens[:-1]
     at = np.flatnonzero(first)
     return h[at], at
 
@@ -158,10 +173,6 @@ def plan(words: list[str], hashes: np.ndarray, kinds: np.ndarray, literal: np.nd
     return out
 
 
-def literal_hashes(words: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-
-
 def fewest_edits(pattern: list, text: list) -> int:
     """Least number of words changed, dropped or added to find pattern somewhere in text; bit-parallel over the pattern."""
     return best_place(pattern, text)[0]
@@ -188,30 +199,55 @@ def best_place(pattern: list, text: list) -> tuple[int, int]:
     return best, place
 
 
-def longest_run(pattern: list[str], text: list[str]) -> int:
-    where = defaultdict(list)
-    for k, x in enumerate(pattern):
-        where[x].append(k)
-    best, last = 0, {}
-    for x in text:
-        last = {k: last.get(k - 1, 0) + 1 for k in where.get(x, ())}
-        best = max([best, *last.values()])
+def longest_run(pattern: np.ndarray, text: np.ndarray) -> int:
+    """The most words in a row that both hold."""
+    best, run = 0, np.zeros(len(text) + 1, np.int32)
+    for x in pattern:
+        run[1:] = np.where(text == x, run[:-1] + 1, 0)
+        best = max(best, int(run.max()))
     return best
 
 
 class Text:
     """A text, read: what the comparison of a document with an item needs."""
 
-    def __init__(self, text: str, reader: Reader):
-        self.words, hashes, self.kinds = reader.read(text)
-        h, at = collapsed(hashes, self.kinds)
+    def __init__(self, text: str, reader: Reader, run: int = 15, one_in: int = 6, item: bool = False):
+        self.words, self.plain, self.hashes, self.kinds = reader.read(text)
+        h, at = collapsed(self.hashes, self.kinds)
         self.tokens, self.at = h.tolist(), at.tolist()
+        self.plans = plan(self.words, self.hashes, self.kinds, self.plain, run, one_in) if item and self.words else []
+        self.runs = frozenset(windows(self.plain, run).tolist())
+        self._made: dict = {}
+
+    def keys(self, size: int) -> np.ndarray:
+        """The windows of the first template, in order."""
+        if size not in self._made:
+            self._made[size] = windows(self.hashes if size > 1 else self.plain, size)
+        return self._made[size]
 
     def value(self, k: int) -> tuple[str, ...]:
         """The words that the k-th token of the second template stands for."""
         return tuple(self.words[self.at[k] : self.at[k + 1] if k + 1 < len(self.at) else len(self.words)])
 
 
+def stretches(item: Text, doc: Text, one_in: int) -> list[tuple[int, int]]:
+    """Where in the document the item can be: around the windows that they share."""
+    if not item.plans:
+        return []
+    _, size, keys, _ = item.plans[0]
+    made = doc.keys(size)
+    if not len(made):
+        return []
+    near = len(item.words) + len(item.words) // one_in + size
+    out: list[list[int]] = []
+    for p in np.flatnonzero(keys[np.minimum(np.searchsorted(keys, made), len(keys) - 1)] == made):
+        if out and p - near <= out[-1][1]:
+            out[-1][1] = int(p) + near
+        else:
+            out.append([max(0, int(p) - near), int(p) + near])
+    return [(a, b) for a, b in out]
+
+
 def consistent(item: Text, doc: Text, end: int) -> bool:
     """Whether each slot value of the item stands for one value of the document, where the templates align before token ``end``."""
     begin = max(0, end - len(item.tokens) - len(item.tokens) // 3)
@@ -225,19 +261,19 @@ def consistent(item: Text, doc: Text, end: int) -> bool:
 
 
 def compare(item: Text, doc: Text, run: int = 15, one_in: int = 6) -> tuple[str, int, int] | None:
-    """(kind, longest run, fewest edits) of a document that holds an item, else None."""
+    """(kind, longest run, fewest edits) of a document that holds an item, else None. The item's Text is made as one."""
     mine = item.words
     if not mine:
         return None
-    edits, longest = fewest_edits(mine, doc.words), longest_run(mine, doc.words)
+    edits = min((fewest_edits(mine, doc.words[a:b]) for a, b in stretches(item, doc, one_in)), default=len(mine))
     if edits * one_in <= len(mine):
-        return "whole", longest, edits
-    if longest >= run:
-        return "part", longest, edits
+        return "whole", longest_run(item.plain, doc.plain), edits
+    if not item.runs.isdisjoint(doc.runs):
+        return "part", longest_run(item.plain, doc.plain), edits
     if len(item.tokens) >= WINDOW and (item.kinds > 0).any():
         off, end = best_place(item.tokens, doc.tokens)
         if off * one_in <= len(item.tokens) and consistent(item, doc, end):
-            return "reparameterised", longest, edits
+            return "reparameterised", longest_run(item.plain, doc.plain), edits
     return None
 
 
@@ -262,9 +298,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         for batch in batches:
             out = []
             for i, v, t in zip(batch["_item"], batch["_version"], batch["_text"], strict=True):
-                words, hashes, kinds = reader.read(t)
+                words, plain, hashes, kinds = reader.read(t)
                 if words:
-                    out += [(i, v, f, size, keys.view(np.int64).tolist(), least) for f, size, keys, least in plan(words, hashes, kinds, literal_hashes(words), run, one_in)]
+                    out += [(i, v, f, size, keys.view(np.int64).tolist(), least) for f, size, keys, least in plan(words, hashes, kinds, plain, run, one_in)]
             yield pd.DataFrame(out, columns=["_item", "_version", "family", "size", "keys", "least"])
 
     parsed = numbered.mapInPandas(parse, "_item bigint, _version bigint, family int, size int, keys array<bigint>, least int")
@@ -285,19 +321,31 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         mask, six, one = np.uint64(bits - 1), np.uint64(6), np.uint64(1)
         hit = lambda at: (table[at >> six] >> (at & np.uint64(63))) & one
         for batch in batches:
-            ids, keys = [], []
-            for i, t in zip(batch[key], batch[text], strict=True):
-                words, hashes, kinds = reader.read(t)
-                made = []
+            ids, tokens, sizes = [], [], []
+            for last, i, t in zip(range(len(batch), 0, -1), batch[key], batch[text], strict=True):
+                mine = tokens_in(t)
+                if mine:
+                    ids.append(i)
+                    sizes.append(len(mine))
+                    tokens += mine
+                if not tokens or last > 1 and len(tokens) < 100_000:
+                    continue
+                # Many texts at once, end to end; no window reaches from one into the next.
+                ends = np.cumsum(sizes)
+                first = np.zeros(len(tokens), bool)
+                first[np.concatenate([[0], ends[:-1]])] = True
+                keep, plain, hashes, kinds = reader.templates(reader.codes(tokens), first)
+                opens = (np.cumsum(first) - 1)[keep]
                 for family, size in shapes:
-                    h = collapsed(hashes, kinds)[0] if family else literal_hashes(words) if size == 1 else hashes
-                    made.append(windows(h, size, family))
-                made = np.concatenate(made) if made else np.empty(0, np.uint64)
-                made = made[hit(made & mask).astype(bool)]
-                made = np.unique(made[hit(made >> np.uint64(29) & mask).astype(bool)])
-                ids.append(np.full(len(made), i, np.int64))
-                keys.append(made.view(np.int64))
-            yield pd.DataFrame({"_doc": np.concatenate(ids) if ids else np.empty(0, np.int64), "key": np.concatenate(keys) if keys else np.empty(0, np.int64)})
+                    if family:
+                        h, at = collapsed(hashes, kinds, opens)
+                        of = opens[at]
+                    else:
+                        h, of = plain if size == 1 else hashes, opens
+                    made = windows(h, size, family)
+                    good = np.flatnonzero((of[: len(made)] == of[size - 1 :]) & hit(made & mask).astype(bool) & hit(made >> np.uint64(29) & mask).astype(bool)) if len(made) else []
+                    yield pd.DataFrame({"_doc": np.array(ids, np.int64)[of[good]], "key": made[good].view(np.int64)} if len(good) else {"_doc": [], "key": []})
+                ids, tokens, sizes = [], [], []
 
     hits = settle(docs.select(F.col(key).cast("bigint").alias(key), text).mapInPandas(scan, "_doc bigint, key bigint").distinct())
     often = hits.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
@@ -313,11 +361,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader()
-        read = lru_cache(maxsize=4096)(lambda t: Text(t, reader))
+        read = lru_cache(maxsize=4096)(lambda t: Text(t, reader, run, one_in, item=True))
         for batch in batches:
             out = []
             for i, whole, asked_ in zip(batch["_doc"], batch["_whole"], batch["asked"], strict=True):
-                doc = Text(whole, reader)
+                doc = Text(whole, reader, run, one_in)
                 out += [(i, a["_item"], *got) for a in asked_ if (got := compare(read(a["_text"]), doc, run, one_in))]
             yield pd.DataFrame(out, columns=[key, item_key, "kind", "longest_run", "edits"])
 
