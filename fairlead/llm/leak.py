@@ -265,15 +265,17 @@ def compare(item: Text, doc: Text, run: int = 15, one_in: int = 6) -> tuple[str,
     mine = item.words
     if not mine:
         return None
-    edits = min((fewest_edits(mine, doc.words[a:b]) for a, b in stretches(item, doc, one_in)), default=len(mine))
+    places = stretches(item, doc, one_in)
+    edits = min((fewest_edits(mine, doc.words[a:b]) for a, b in places), default=len(mine))
+    longest = lambda: max((longest_run(item.plain, doc.plain[a:b]) for a, b in places), default=0)
     if edits * one_in <= len(mine):
-        return "whole", longest_run(item.plain, doc.plain), edits
+        return "whole", longest(), edits
     if not item.runs.isdisjoint(doc.runs):
-        return "part", longest_run(item.plain, doc.plain), edits
+        return "part", longest(), edits
     if len(item.tokens) >= WINDOW and (item.kinds > 0).any():
         off, end = best_place(item.tokens, doc.tokens)
         if off * one_in <= len(item.tokens) and consistent(item, doc, end):
-            return "reparameterised", longest_run(item.plain, doc.plain), edits
+            return "reparameterised", longest(), edits
     return None
 
 
