@@ -199,13 +199,22 @@ def best_place(pattern: list, text: list) -> tuple[int, int]:
     return best, place
 
 
-def longest_run(pattern: np.ndarray, text: np.ndarray) -> int:
-    """The most words in a row that both hold."""
-    best, run = 0, np.zeros(len(text) + 1, np.int32)
-    for x in pattern:
-        run[1:] = np.where(text == x, run[:-1] + 1, 0)
-        best = max(best, int(run.max()))
-    return best
+def longest_run(pattern: np.ndarray, text: np.ndarray, most_cells: int = 1 << 22) -> int:
+    """The most words in a row that both hold: along the diagonals of the grid of equal words, or row by row of a grid of more cells."""
+    m, n = len(pattern), len(text)
+    if not m or not n:
+        return 0
+    if m * n > most_cells:
+        best, run = 0, np.zeros(n + 1, np.int64)
+        for x in pattern:
+            run[1:] = np.where(text == x, run[:-1] + 1, 0)
+            best = max(best, int(run.max()))
+        return best
+    grid = np.zeros((m, n + m), bool)
+    grid[:, :n] = pattern[::-1, None] == text[None, :]
+    flat = np.zeros((n + m - 1, m + 1), bool)  # one cell less in a row moves each row one on: diagonals become columns
+    flat[:, :m] = grid.ravel()[: m * (n + m - 1)].reshape(m, n + m - 1).T
+    return int(np.diff(np.flatnonzero(~flat.ravel()), prepend=-1).max()) - 1
 
 
 class Text:

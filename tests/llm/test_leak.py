@@ -29,7 +29,8 @@ def test_edits_and_runs_equal_plain_ones():
         t = [RNG.choice("abc") for _ in range(RNG.randint(0, 90))]
         assert fewest_edits(p, t) == slow_edits(p, t)
         best = max([0, *[k for k in range(1, len(p) + 1) for a in range(len(p) - k + 1) for b in range(len(t) - k + 1) if p[a : a + k] == t[b : b + k]]]) if len(p) < 15 else None
-        assert best is None or longest_run(p, np.array(t, object)) == best
+        for cells in (0, 1 << 22):
+            assert best is None or longest_run(np.array(p, object), np.array(t, object), cells) == best
 
 
 def test_words():
@@ -63,7 +64,7 @@ def make_cases():
 
 def truth(items, docs):
     """Brute force: every document against every item, word by word."""
-    return {(d, i) for d, t in docs.items() for i, w in items.items() if slow_edits(w, t) * 6 <= len(w) or longest_run(w, np.array(t, object)) >= 15}
+    return {(d, i) for d, t in docs.items() for i, w in items.items() if slow_edits(w, t) * 6 <= len(w) or longest_run(np.array(w, object), np.array(t, object)) >= 15}
 
 
 def frames(spark, items, docs):
