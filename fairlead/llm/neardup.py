@@ -25,9 +25,11 @@ from fairlead.operators.skew import salted_join, skew_join
 from fairlead.schema import require
 from fairlead.session import settle
 
-SAMPLES, BITS = 128, 1024
-#: Bands of MinHash samples: of pairs as similar as 0.5 they meet 98 %, from 0.6 on all but 4 in 10,000.
-ROWS, BANDS = 3, 32
+SAMPLES, BITS = 160, 1280
+#: Bands of MinHash samples. A band meets only where one more field agrees, another one from band to band: records of
+#: different things share many letter groups, and would meet all over a large table.
+ROWS, BANDS = 4, 40
+QUALIFIERS = ["delivery_year", "capacity", "shipowner_country_area", "shipbuilder_yard_country_area"]
 IDENTITY = ["imo_number", "vessel_name", "hull_number"]
 CONTEXT = [
     "shipowner", "shipbuilder", "shipowner_country_area", "shipbuilder_yard_country_area", "capacity", "cargo_type",
@@ -90,12 +92,10 @@ def clean(field: str, value: object) -> str:
 
 
 def grams_of(number: str, name: str, hull: str) -> list[str]:
-    """Letter and digit groups of the identifying values, as a set in order."""
+    """Letter and digit groups of the identifying values, as a set in order; the name, which is seldom missing, has most."""
     marked, inner = f"^{name.replace(' ', '_')}$" if name else "", f"^{hull}$" if hull else ""
-    out = [f"n{k}{number[k : k + 2]}" for k in range(len(number) - 1)] + [f"n{number[k : k + 3]}" for k in range(len(number) - 2)]
-    out += [f"v{marked[k : k + q]}" for q in (2, 3, 4) for k in range(len(marked) - q + 1)]  # most of the weight: it is seldom missing
-    out += [f"h{inner[k : k + 2]}" for k in range(len(inner) - 1)] + ([f"H{hull}"] if hull else [])
-    return list(dict.fromkeys(out))
+    out = [f"{kind}{text[k : k + q]}" for kind, text, sizes in (("n", number, (3, 4)), ("v", marked, (3, 4)), ("h", inner, (3,))) for q in sizes for k in range(len(text) - q + 1)]
+    return list(dict.fromkeys([*out, f"H{hull}"] if hull else out))
 
 
 def samples_of(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -115,10 +115,10 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return np.packbits(bits.reshape(len(samples), BITS), axis=1).view(np.int64)
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    """A key for each band of ROWS samples."""
+def band_keys(samples: np.ndarray, qualifiers: np.ndarray) -> np.ndarray:
+    """A key for each band of ROWS samples; ``qualifiers`` has a hash of each of QUALIFIERS."""
     part = samples[:, : ROWS * BANDS].reshape(len(samples), BANDS, ROWS)
-    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), part.shape[:2]).copy()
+    key = np.arange(BANDS, dtype=np.uint64) ^ qualifiers[:, np.arange(BANDS) % len(QUALIFIERS)]
     for k in range(ROWS):
         key = (key ^ part[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(31)
@@ -166,22 +166,27 @@ _LONGS = T.ArrayType(T.LongType())
 
 
 @F.pandas_udf(T.StructType([T.StructField("bands", _LONGS), T.StructField("sketch", _LONGS)]))
-def _sketch(number: pd.Series, name: pd.Series, hull: pd.Series) -> pd.DataFrame:
+def _sketch(cleaned: pd.Series) -> pd.DataFrame:
     memo: dict[str, int] = {}
-    get, hashes, starts = memo.get, [], []
-    for values in zip(number, name, hull, strict=True):
+
+    def hashed(text: str) -> int:
+        h = memo.get(text)
+        if h is None:
+            h = memo[text] = xxhash.xxh3_64_intdigest(text)
+        return h
+
+    where = [FIELDS.index(f) for f in QUALIFIERS]
+    hashes, starts, qualified = [], [0], []
+    for c in cleaned:
+        # A record of one short value has no group of its own; the values themselves are its set then.
+        hashes += map(hashed, grams_of(*c[: len(IDENTITY)]) or [f"{k}={v}" for k, v in enumerate(c[: len(IDENTITY)]) if v])
         starts.append(len(hashes))
-        for g in grams_of(*values):
-            h = get(g)
-            if h is None:
-                h = memo[g] = xxhash.xxh3_64_intdigest(g)
-            hashes.append(h)
-    starts.append(len(hashes))
-    flat, at, bands, sketches = np.array(hashes, np.uint64), np.array(starts, np.intp), [], []
-    for k in range(0, len(number), 512):  # so many sets' samples at once
+        qualified.append([hashed(f"={c[k]}") for k in where])
+    flat, at, by, bands, sketches = np.array(hashes, np.uint64), np.array(starts, np.intp), np.array(qualified, np.uint64), [], []
+    for k in range(0, len(cleaned), 512):  # so many sets' samples at once
         own = at[k : k + 513]
         samples = samples_of(flat[own[0] : own[-1]], own[:-1] - own[0])
-        bands += list(band_keys(samples))
+        bands += list(band_keys(samples, by[k : k + 512]))
         sketches += list(odd_sketches(samples))
     return pd.DataFrame({"bands": bands, "sketch": sketches})
 
@@ -249,11 +254,8 @@ def same_thing(a: dict[str, str], b: dict[str, str]) -> float:
 
 def sketched_pairs(firsts: DataFrame, least_similarity: float) -> DataFrame:
     """(a, b) of firsts (id, cleaned) that share a band and whose odd sketches estimate at least ``least_similarity``."""
-    value = lambda k: F.get("cleaned", F.lit(k))
-    made = settle(firsts.withColumn("s", _sketch(value(0), value(1), value(2))).select("id", "s.bands", "s.sketch"))
+    made = settle(firsts.withColumn("s", _sketch("cleaned")).select("id", "s.bands", "s.sketch"))
     keyed = made.select("id", F.explode("bands").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    keyed = settle(keyed.join(shared, "bucket", "left_semi"))
     met = salted_join(keyed.withColumnRenamed("id", "a"), keyed.withColumnRenamed("id", "b"), "bucket", part_rows=5_000).where("a < b").select("a", "b").distinct()
     side = lambda n: made.select(F.col("id").alias(n), F.col("sketch").alias(f"_{n}"))
     differing = sum((F.bit_count(F.get("_a", F.lit(k)).bitwiseXOR(F.get("_b", F.lit(k)))) for k in range(BITS // 64)), F.lit(0))
