@@ -25,10 +25,10 @@ from fairlead.operators.skew import salted_join, skew_join
 from fairlead.schema import require
 from fairlead.session import settle
 
-SAMPLES, BITS = 160, 1280
+SAMPLES, BITS = 224, 1792
 #: Bands of MinHash samples. A band meets only where one more field agrees, another one from band to band: records of
 #: different things share many letter groups, and would meet all over a large table.
-ROWS, BANDS = 4, 40
+ROWS, BANDS = 4, 56
 QUALIFIERS = ["delivery_year", "capacity", "shipowner_country_area", "shipbuilder_yard_country_area"]
 IDENTITY = ["imo_number", "vessel_name", "hull_number"]
 CONTEXT = [
