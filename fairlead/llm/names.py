@@ -2,9 +2,9 @@
 
 Canonical forms are the listed tags and every other full form that is spelled the same way more often than misspellings
 of any form could explain. A typed name is attributed to the canonical form of the greatest posterior: the frequency of
-the form times the likelihood that typing it yields the name by typos, abbreviation, cuts, reordering or initials. What
-the row says of the organisation's country and its source adds to the likelihood. Names meet canonical forms through
-keys (deletion neighbourhoods of word beginnings, initials), never pairwise.
+the form times the likelihood that typing it yields the name by typos, abbreviation, cuts, reordering or initials. How
+often slips and cuts of a head occur is estimated from the mentions. Names meet canonical forms through keys (deletion
+neighbourhoods of word beginnings, word ends, initials), never pairwise.
 """
 
 from __future__ import annotations
@@ -83,12 +83,12 @@ def _within(short: str, word: str) -> bool:
 def head_cost(typed: str, head: str) -> float:
     if typed == head:
         return 0.0
+    if 4 <= len(typed) < len(head) - 1 and head.startswith(typed):
+        return CUT
     far = distance(typed, head)
     if far == 1 and len(head) >= 4 or far == 2 and len(head) >= 8:
         return TYPO * far
     if 4 <= len(typed) < len(head):
-        if head.startswith(typed):
-            return CUT
         if len(typed) >= 5 and min(distance(typed, head[: len(typed) + k]) for k in (-1, 0, 1)) == 1:
             return CUT + TYPO + 1
     return MOST + 1
@@ -151,8 +151,15 @@ def cost(typed: tuple[str, ...], form: tuple[str, ...]) -> float:
 
 
 def _neighbours(word: str) -> set[str]:
+    """Keys of a word: what head_cost() allows shares one. A slip lies in the first five letters or behind them, a second
+    one leaves either these with one slip or the end as it is; words of one or two letters allow none."""
     stem = word[:5]
-    return {stem, word[:4], *(stem[:k] + stem[k + 1 :] for k in range(len(stem)))}
+    out = {stem, word[:4]}
+    if len(word) >= 3:
+        out.update(stem[:k] + stem[k + 1 :] for k in range(len(stem)))
+    if len(word) >= 6:
+        out.add("$" + word[-3:])
+    return out
 
 
 def keys_of_form(form: tuple[str, ...]) -> list[str]:
@@ -160,11 +167,10 @@ def keys_of_form(form: tuple[str, ...]) -> list[str]:
 
 
 def keys_of_name(typed: tuple[str, ...]) -> list[str]:
-    words = [w for w in typed if w not in LEGAL]
-    glued = [a + b for a, b in zip(words, words[1:])]
+    glued = [a + b for a, b in zip(typed, typed[1:])]
     bare = plain_of(typed)
-    out = {"#" + bare[0]} if len(bare) == 1 and len(bare[0]) <= 8 else set()
-    return sorted(out.union(*(_neighbours(w) for w in [*words, *glued] if len(w) >= 4))) if typed else []
+    out = {"#" + bare[0]} if len(bare) == 1 else set()
+    return sorted(out.union(*(_neighbours(w) for w in [*typed, *glued])))
 
 
 _NAME = T.StructType([T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("plain", T.StringType()), T.StructField("form_keys", T.ArrayType(T.StringType())), T.StructField("name_keys", T.ArrayType(T.StringType()))])
@@ -190,13 +196,15 @@ def parts_of(c: Column) -> Column:
     return F.filter(F.transform(F.split(kept, r"(?i)\s+(?:&|and)\s+|\s*[/&;]\s*"), lambda x: F.btrim(x)), lambda x: x != "")
 
 
-def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, explained: float = 0.006) -> DataFrame:
+def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, slack: float = 2.0, cited: float = 0.0, placed: float = 0.0) -> DataFrame:
     """(mention, tag) of typed names and the listed organisations that they mean.
 
     mentions: mention, field, text, country, source (the row's country and its reference; may be null). listed: field,
     tag, tag_country, tag_source. A full form that is not listed becomes a rival canonical form if it is typed at least
-    ``least`` times and more than ``explained`` times as often as the listed form it might be a slip of. A text naming
-    several organisations may yield several tags; null and blank texts yield none. Texts equal to a tag yield it too.
+    ``least`` times and more than ``slack`` times as often as a slip, or a cut, of the listed form it might be usually is.
+    The name alone decides; ``cited`` and ``placed`` are log-odds by which the row's source and country may weigh in, off
+    by default. A text naming several organisations may yield several tags; null and blank texts yield none. Texts equal
+    to a tag yield it too.
     """
     said = require(mentions, "mention", "field", "text", "country", "source").where(F.btrim("text") != "")
     said = said.select("mention", "field", "text", *[F.coalesce(F.btrim(c), F.lit("")).alias(c) for c in ("country", "source")])
@@ -209,16 +217,20 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, explained:
     tags = require(listed, "field", "tag", "tag_country", "tag_source").where(F.btrim("tag") != "").dropDuplicates(["field", "tag"])
     tags = tags.withColumn("p", _parse("tag")).select("field", "tag", "tag_country", "tag_source", F.col("p.tokens").alias("form"), F.array_join("p.tokens", " ").alias("plain"), F.col("p.form_keys").alias("keys"))
     tags = tags.join(often, ["field", "plain"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    tails = tags.select("field", F.array_join(F.slice("form", 2, 20), " ").alias("tail")).where("tail <> ''").distinct()
+    tails = tags.select("field", F.array_join(F.slice("form", F.lit(2), F.greatest(F.size("form") - 1, F.lit(1))), " ").alias("tail")).where("tail <> ''").distinct()
 
-    # Full forms that aren't listed: a head, a known tail, typed so often that no listed form's slips explain it.
-    full = parsed.select("field", "plain", F.array_join(F.slice(F.split("plain", " "), 2, 20), " ").alias("tail")).distinct()
-    full = full.join(tails, ["field", "tail"], "left_semi").join(often.where(F.col("n") >= least), ["field", "plain"]).join(tags.select("field", "plain"), ["field", "plain"], "left_anti")
-    full = full.withColumn("p", _parse("plain")).select("field", "plain", "n", F.col("p.tokens").alias("form"), F.col("p.form_keys").alias("keys"))
+    # Full forms that aren't listed: a head and a known tail. What share of a form's mentions a slip or a cut of its head
+    # usually gets is taken from those that are rarer than the form; what is more frequent than that stands for itself.
+    full = parsed.select("field", "plain", F.array_join(F.slice(F.split("plain", " "), F.lit(2), F.greatest(F.size(F.split("plain", " ")) - 1, F.lit(1))), " ").alias("tail")).distinct()
+    full = full.join(tails, ["field", "tail"], "left_semi").join(often, ["field", "plain"]).join(tags.select("field", "plain"), ["field", "plain"], "left_anti")
+    full = settle(full.withColumn("p", _parse("plain")).select("field", "plain", "n", F.col("p.tokens").alias("form"), F.col("p.form_keys").alias("keys")))
     slips = full.select("field", "plain", "n", F.col("form").alias("u"), F.explode("keys").alias("key")).join(tags.select("field", F.col("form"), F.col("n").alias("of"), F.explode("keys").alias("key")), ["field", "key"])
-    slips = slips.select("field", "plain", "n", "u", "form", "of").distinct().where(F.col("n") < least + F.col("of") * explained)
-    slips = slips.where(_cost("u", "form") <= TYPO + COMPANY).select("field", "plain").distinct()
-    rivals = full.join(slips, ["field", "plain"], "left_anti").select("field", F.lit(None).cast("string").alias("tag"), F.lit(None).cast("string").alias("tag_country"), F.lit(None).cast("string").alias("tag_source"), "form", "keys", "n")
+    slips = slips.select("field", "plain", "n", "u", "form", "of").distinct().where(F.slice("u", F.lit(2), F.size("u")) == F.slice("form", F.lit(2), F.size("form")))
+    slips = settle(slips.where(_cost("u", "form") <= max(TYPO, CUT) + COMPANY).select("field", "plain", "n", "of", F.startswith(F.get("form", F.lit(0)), F.get("u", F.lit(0))).alias("cut")))
+    usual = {r.cut: r.share for r in slips.where("n < of").groupBy("cut").agg((F.sum("n") / F.sum("of")).alias("share")).collect()}
+    share = F.when(F.col("cut"), usual.get(True, 0.0)).otherwise(usual.get(False, 0.0))
+    slips = slips.where(F.col("n") < least + F.col("of") * share * slack).select("field", "plain").distinct()
+    rivals = full.where(F.col("n") >= least).join(slips, ["field", "plain"], "left_anti").select("field", F.lit(None).cast("string").alias("tag"), F.lit(None).cast("string").alias("tag_country"), F.lit(None).cast("string").alias("tag_source"), "form", "keys", "n")
     forms = settle(tags.select(*rivals.columns).unionByName(rivals))
 
     own = lambda c: F.transform(F.col(c), lambda k: F.concat_ws("\u0001", F.col("field"), k))
@@ -233,8 +245,8 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, explained:
     judged = saying.select("field", "part", "country", "source", "alone").distinct().join(near, ["field", "part"])
     known = (F.col("country") != "") & (F.lower("country") != "unknown") & (F.col("tag_country") != "") & (F.col("tag_country") != "AMBIGUOUS")
     sourced = (F.col("source") != "") & (F.col("tag_source") != "")
-    fits = F.when(sourced, F.when(F.instr("source", F.col("tag_source")) > 0, 6.0).when(F.col("alone"), -6.0).otherwise(0.0)).otherwise(0.0)
-    fits = fits + F.when(known, F.when(F.lower("country") == F.lower("tag_country"), 1.5).when(F.col("alone"), -3.0).otherwise(0.0)).otherwise(0.0)
+    fits = F.when(sourced, F.when(F.instr("source", F.col("tag_source")) > 0, cited).when(F.col("alone"), -cited).otherwise(0.0)).otherwise(0.0)
+    fits = fits + F.when(known, F.when(F.lower("country") == F.lower("tag_country"), placed).when(F.col("alone"), -2 * placed).otherwise(0.0)).otherwise(0.0)
     post = judged.withColumn("post", F.log(F.col("n") + 0.5) - F.col("cost") + F.coalesce(fits, F.lit(0.0)))
     best = post.groupBy("field", "part", "country", "source", "alone").agg(F.max(F.struct("post", F.negative("cost").alias("close"), F.array_join("form", " ").alias("name"), "tag")).alias("b"))
     best = best.where(F.col("b.tag").isNotNull()).select("field", "part", "country", "source", "alone", F.col("b.tag").alias("tag"))
