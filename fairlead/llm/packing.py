@@ -9,8 +9,9 @@ half-empty container each behind.
 
 from __future__ import annotations
 
+import base64
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,25 +25,38 @@ from fairlead.session import settle
 MOST_PACKS = 1_000
 
 
-def default_vocabulary() -> str:
-    """The installed public byte-level vocabulary; pass another path where it lies elsewhere."""
-    return "/opt/tokenizers/byte_bpe_50k.json"
+# How the byte-level vocabularies part a text before merging.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """(key, tokens) of every document; null and empty texts have none. Whole texts are encoded, in Arrow batches."""
-    path = vocabulary or default_vocabulary()
+def _counter(vocabulary: str) -> Callable[[list[str]], list[int]]:
+    """Token counts of texts under a vocabulary file: ranks of tiktoken (*.tiktoken) or a tokenizer of tokenizers (*.json)."""
+    if vocabulary.endswith(".tiktoken"):
+        import tiktoken
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from tokenizers import Tokenizer
+        with open(vocabulary, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        encode = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return lambda texts: [len(encode(t)) for t in texts]
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary)
+    tokenizer.encode_special_tokens = True
+    return lambda texts: [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, tokens) of every document; null and empty texts have none. Whole texts are encoded, in Arrow batches.
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+    ``vocabulary`` is the path of a public tokenizer's file, which every executor must be able to read.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = _counter(vocabulary)
         for batch in batches:
             sizes = []
             for at in range(0, len(batch), 256):
-                texts = [t if isinstance(t, str) else "" for t in batch[text][at : at + 256]]
-                sizes += [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+                sizes += counts([t if isinstance(t, str) else "" for t in batch[text][at : at + 256]])
             yield pd.DataFrame({key: batch[key], "tokens": np.array(sizes, np.int64)})
 
     kind = dict(docs.dtypes)[key]
@@ -137,28 +151,36 @@ def pack(sizes: np.ndarray, capacity: int, groups: int = 64, large: float = 1 /
     return out
 
 
-def pack_documents(docs: DataFrame, capacities: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None, shard_rows: int = 20_000) -> DataFrame:
+def pack_documents(docs: DataFrame, capacities: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", shard_pieces: int = 20_000) -> DataFrame:
     """(pack_id, doc_id, piece, start_token, tokens, container) of every document or piece, for every capacity.
 
     capacities: pack_id, capacity_tokens; there are few. A document that exceeds the capacity is cut into pieces of the
     capacity and one rest; no other is cut. Documents without tokens take part with size 0. Capacities that are null or
-    not positive give no rows. Containers are numbered within a pack.
+    not positive give no rows. Containers are named within a pack, by shard and number or by document
+    and piece. Pieces that fill a container need no packing; the
+    others of a pack, at most one for each document, are hashed to shards of about ``shard_pieces``, each of which is
+    packed by one task. Tokens are counted with ``vocabulary`` (see token_counts).
     """
-    sizes = settle(token_counts(docs, key, text, vocabulary))
-    shards = max(1, -(-sizes.count() // shard_rows))
     packs = require(capacities, "pack_id", "capacity_tokens").where("capacity_tokens > 0").distinct().limit(MOST_PACKS + 1).collect()
     if len(packs) > MOST_PACKS:
         raise ValueError(f"more than {MOST_PACKS} container sizes")
-    each = F.explode(F.array(*[F.struct(F.lit(p.pack_id).cast("int").alias("pack_id"), F.lit(p.capacity_tokens).cast("bigint").alias("capacity_tokens")) for p in packs]).cast("array<struct<pack_id:int,capacity_tokens:bigint>>"))
-    whole = sizes.withColumn("_p", each).select(*sizes.columns, "_p.*").withColumn("_pieces", F.greatest(F.ceil(F.col("tokens") / F.col("capacity_tokens")), F.lit(1)).cast("int"))
-    pieces = whole.select("pack_id", F.col("capacity_tokens").cast("bigint").alias("capacity_tokens"), F.col(key).cast("bigint").alias("doc_id"), "tokens", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)).alias("piece"))
-    pieces = pieces.select("pack_id", "capacity_tokens", "doc_id", "piece", (F.col("piece") * F.col("capacity_tokens")).alias("start_token"), F.least(F.col("capacity_tokens"), F.col("tokens") - F.col("piece") * F.col("capacity_tokens")).alias("tokens"))
-    # A very long document has many pieces: they are spread by piece as well.
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.floor(F.col("piece") / 64)), F.lit(shards)))
+    sizes = settle(token_counts(docs, vocabulary, key, text).select(F.col(key).cast("bigint").alias("doc_id"), "tokens"))
+    shards = max(1, -(-sizes.count() // shard_pieces))
+    kind = "array<struct<pack_id:int,capacity_tokens:bigint>>"
+    each = F.explode(F.array(*[F.struct(F.lit(p.pack_id).cast("int").alias("pack_id"), F.lit(p.capacity_tokens).cast("bigint").alias("capacity_tokens")) for p in packs]).cast(kind))
+    whole = sizes.withColumn("_p", each).select("doc_id", "tokens", "_p.*").withColumn("full", F.floor(F.col("tokens") / F.col("capacity_tokens")).cast("int"))
+    full = whole.where("full > 0").select("pack_id", "doc_id", F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("piece"), "capacity_tokens")
+    own = full.select("pack_id", "doc_id", "piece", (F.col("piece") * F.col("capacity_tokens")).alias("start_token"), F.col("capacity_tokens").alias("tokens"), F.concat_ws(":", F.lit("d"), "doc_id", "piece").alias("container"))
+    rest = whole.where((F.col("tokens") == 0) | (F.col("tokens") > F.col("full") * F.col("capacity_tokens")))
+    rest = rest.select("pack_id", "capacity_tokens", "doc_id", F.col("full").alias("piece"), (F.col("full") * F.col("capacity_tokens")).alias("start_token"), (F.col("tokens") - F.col("full") * F.col("capacity_tokens")).alias("tokens"))
+    rest = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "piece"], kind="stable")
         got = pack(rows["tokens"].to_numpy(np.int64), int(rows["capacity_tokens"].iloc[0]))
-        return rows.assign(container=int(rows["shard"].iloc[0]) * (1 << 32) + got)[["pack_id", "doc_id", "piece", "start_token", "tokens", "container"]]
+        return rows.assign(number=got)[["pack_id", "doc_id", "piece", "start_token", "tokens", "shard", "number"]]
 
-    return pieces.groupBy("pack_id", "shard").applyInPandas(run, "pack_id int, doc_id bigint, piece int, start_token bigint, tokens bigint, container bigint")
+    # A task for each group: left to itself, adaptive execution puts many small groups, which are much work, into one.
+    spread = rest.repartition(max(1, 2 * shards * len(packs)), "pack_id", "shard")
+    packed = spread.groupBy("pack_id", "shard").applyInPandas(run, "pack_id int, doc_id bigint, piece int, start_token bigint, tokens bigint, shard int, number bigint")
+    return packed.select("pack_id", "doc_id", "piece", "start_token", "tokens", F.concat_ws(":", F.lit("s"), "shard", "number").alias("container")).unionByName(own)

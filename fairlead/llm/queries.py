@@ -15,6 +15,10 @@ from fairlead.operators.packed import split_packed
 from fairlead.schema import table
 
 
+#: Where the executors find the vocabulary of problem 8, unless spark.fairlead.vocabulary says so.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 def p2_matches(spark: SparkSession, sf: str) -> DataFrame:
     fleet = table(spark, sf, "giignl_fsru_fleet")
     left = fleet.select(
@@ -66,7 +70,16 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
-    return pack_documents(table(spark, sf, "documents"), table(spark, sf, "pack_sizes"))
+    return pack_documents(table(spark, sf, "documents"), table(spark, sf, "pack_sizes"), spark.conf.get("spark.fairlead.vocabulary", VOCABULARY))
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each capacity the pieces, containers and tokens, and the containers that hold too much or a piece twice: none."""
+    packed = p8_containers(spark, sf)
+    per = packed.groupBy("pack_id", "container").agg(F.sum("tokens").alias("held"), F.count(F.lit(1)).alias("pieces"), F.count_distinct("doc_id", "piece").alias("distinct"))
+    sizes = table(spark, sf, "pack_sizes").select("pack_id", "capacity_tokens").distinct()
+    out = per.join(sizes, "pack_id").groupBy("pack_id").agg(F.sum("pieces").alias("pieces"), F.count(F.lit(1)).alias("containers"), F.sum("held").alias("tokens"), F.max(F.col("held") > F.col("capacity_tokens")).alias("over"), F.max(F.col("pieces") > F.col("distinct")).alias("twice"))
+    return out
 
 
 def p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,5 +94,5 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return look_alike_pairs(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_confidence, p5_found, p5_groups, p6_found, p8_containers, p9_found, p9_leaks, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_confidence, p5_found, p5_groups, p6_found, p8_containers, p8_fill, p9_found, p9_leaks, p10_found)}
 ORACLES: dict[str, str] = {}
