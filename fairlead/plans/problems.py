@@ -64,21 +64,22 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p1_found, p1_rejects, p1_loaded, p3_found, p3_summary, p4_found, p4_report, p7_found)}
 
 _FIELD = r'("(?:[^"]|"")*"|[^",]*)'
-_P1 = rf"""
+RAW_VALUES = rf"""
 WITH lines AS (SELECT raw_id, coalesce(raw_line, '') AS raw_line FROM apply_rows_raw),
 split AS (
   SELECT raw_id, regexp_full_match(raw_line || ',', '(?s)({_FIELD},)+') AS ok,
          regexp_extract_all(raw_line || ',', '(?s){_FIELD},', 1) AS f FROM lines),
 vals AS (
   SELECT raw_id, ok, len(f) AS n,
-    [CASE WHEN x[1] = '"' THEN replace(x[2:len(x) - 1], '""', '"') ELSE x END FOR x IN f] AS f FROM split),
+    [CASE WHEN x[1] = '"' THEN replace(x[2:len(x) - 1], '""', '"') ELSE x END FOR x IN f] AS f FROM split)"""
+_P1 = RAW_VALUES + r""",
 picked AS (
   SELECT raw_id, ok, n, regexp_replace(f[28], '^\s+|\s+$', '', 'g') AS cap, regexp_replace(f[24], '^\s+|\s+$', '', 'g') AS lon,
          regexp_replace(f[40], '^\s+|\s+$', '', 'g') AS op FROM vals),
 reasons AS (
   SELECT *, CASE
     WHEN NOT ok THEN ['broken_quoting'] WHEN n <> 46 THEN ['column_count'] ELSE [
-    CASE WHEN cap <> '' AND lower(cap) <> 'unknown' AND NOT (regexp_full_match(cap, '(\d+|\d{{1,3}}(,\d{{3}})+)(\.\d+)?')
+    CASE WHEN cap <> '' AND lower(cap) <> 'unknown' AND NOT (regexp_full_match(cap, '(\d+|\d{1,3}(,\d{3})+)(\.\d+)?')
       AND coalesce(try_cast(replace(cap, ',', '') AS DOUBLE), 0) > 0) THEN 'bad_capacity' END,
     CASE WHEN lon <> '' AND lower(lon) <> 'unknown' AND NOT (regexp_full_match(lon, '[+-]?(\d+(\.\d+)?|\.\d+)')
       AND coalesce(try_cast(lon AS DOUBLE) BETWEEN -180 AND 180, false)) THEN 'bad_longitude' END,

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.functions import parse as P
 from fairlead.functions import text as X
 from fairlead.operators import dedupe, lookup, patch, proposals, quality, reconcile
 from fairlead.operators.orphans import whole_number
+from fairlead.plans.problems import RAW_VALUES
 from fairlead.schema import COORDINATES, REF_COLUMNS, REF_OF, SHEET_COLUMNS, YARD_BLOCK, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,19 +229,20 @@ def _compact(x: str) -> str:
     return rf"regexp_replace(regexp_replace(printf('%.6f', round({x} * pow(10.0, {places})) / pow(10.0, {places})), '0+$', ''), '\.$', '')"
 
 
-def _variants() -> str:
-    v, raw = "v", r"regexp_extract(v, '^\$?\s*([\d,]+(?:\.\d+)?)', 1)"
+def variants_of(source: str, keys: str) -> str:
+    """CTEs up to var(keys, v, l): the renderings l of each value v of ``source``, a select of keys and v."""
+    raw = r"regexp_extract(v, '^\$?\s*([\d,]+(?:\.\d+)?)', 1)"
     forms = lambda x, a, b: f"['' || {_compact(x)} || '{a}', '$' || {_compact(x)} || '{a}', {_compact(x)} || ' {b}']"
     return (
-        f"WITH c AS (SELECT cell_id, loaded_at, {S('accepted_value')} AS {v} FROM apply_accepted), n AS (SELECT *, try_cast(replace({raw}, ',', '') AS DOUBLE) AS n FROM c), "
-        "w AS (SELECT *, n = floor(n) AS w FROM n), l AS (SELECT cell_id, loaded_at, [v, lower(v), CASE WHEN n IS NULL THEN NULL WHEN w THEN printf('%.0f', n) ELSE CAST(n AS VARCHAR) END, CASE WHEN w THEN format('{:,}', CAST(n AS BIGINT)) END]"
+        f"val AS ({source}), num AS (SELECT *, try_cast(replace({raw}, ',', '') AS DOUBLE) AS n FROM val), whole AS (SELECT *, n = floor(n) AS w FROM num), "
+        f"listed AS (SELECT {keys}, v, [v, lower(v), CASE WHEN n IS NULL THEN NULL WHEN w THEN printf('%.0f', n) ELSE CAST(n AS VARCHAR) END, CASE WHEN w THEN format('{{:,}}', CAST(n AS BIGINT)) END]"
         f" || CASE WHEN w AND n >= 1e6 THEN {forms('(n / 1e6)', 'm', 'million')} || {forms('round_even(n / 1e6, 0)', 'm', 'million')} ELSE [] END"
-        f" || CASE WHEN w AND n >= 1e9 THEN {forms('(n / 1e9)', 'bn', 'billion')} || {forms('round_even(n / 1e9, 2)', 'bn', 'billion')} ELSE [] END AS l FROM w) "
-        "SELECT cell_id, loaded_at, array_to_string(list_sort(list_distinct([x FOR x IN l IF x <> ''])), ' ~ ') AS variants FROM l"
+        f" || CASE WHEN w AND n >= 1e9 THEN {forms('(n / 1e9)', 'bn', 'billion')} || {forms('round_even(n / 1e9, 2)', 'bn', 'billion')} ELSE [] END AS l FROM whole), "
+        f"var AS (SELECT {keys}, v, list_distinct([x FOR x IN l IF x <> '']) AS l FROM listed)"
     )
 
 
-@query(_variants())
+@query("WITH " + variants_of(f"SELECT cell_id, loaded_at, {S('accepted_value')} AS v FROM apply_accepted", "cell_id, loaded_at") + " SELECT cell_id, loaded_at, array_to_string(list_sort(l), ' ~ ') AS variants FROM var")
 def x18_value_variants(spark, sf):
     return table(spark, sf, "apply_accepted").select("cell_id", "loaded_at", F.array_join(F.array_sort(P.value_variants(F.col("accepted_value"))), " ~ ").alias("variants"))
 
@@ -320,10 +322,23 @@ def _rules(spark, sf):
     return quality.cell_rules(quality.vocabulary(table(spark, sf, "vocab")))
 
 
+def intake(spark, sf) -> DataFrame:
+    """The sheet's rows and the raw records that have all columns, sound or not: what rules on cells are for."""
+    from fairlead.sources.raw_records import with_fields
+
+    raw = with_fields(table(spark, sf, "apply_rows_raw").select("raw_id", "raw_line")).where((F.size("_fields") == len(SHEET_COLUMNS)) & F.col("_fault").isNull())
+    new = raw.select(F.col("raw_id").alias("record_id"), *[F.element_at("_fields", k).alias(c) for k, c in enumerate(SHEET_COLUMNS, 1)])
+    return rows_of(spark, sf).select("record_id", *SHEET_COLUMNS).unionByName(new)
+
+
+INTAKE = RAW_VALUES + ", intake AS (SELECT record_id, " + ", ".join(SHEET_COLUMNS) + " FROM apply_rows UNION ALL SELECT raw_id, " + ", ".join(f"f[{k}]" for k in range(1, len(SHEET_COLUMNS) + 1)) + " FROM vals WHERE ok AND n = 46)"
+INTAKE_CELLS = INTAKE + ", " + CELLS.replace("apply_rows", "intake")
+
+
 def _cells(spark, sf, check: str, columns: list[str] | None = None):
     rules = [r for r in _rules(spark, sf) if r.check == check and (columns is None or set(r.columns) & set(columns))]
     need = {c for r in rules for c in r.columns}
-    return quality.cell_findings(rows_of(spark, sf).select("record_id", "row_id", *[c for c in SHEET_COLUMNS if c in need and c != "row_id"]), rules)
+    return quality.cell_findings(intake(spark, sf).select("record_id", "row_id", *[c for c in SHEET_COLUMNS if c in need and c != "row_id"]), rules)
 
 
 _IN = lambda cs: "(" + ", ".join(f"'{c}'" for c in cs) + ")"
@@ -343,42 +358,42 @@ _Q = {
 }
 
 
-@query(f"WITH {CELLS} {_Q['q01']}")
+@query(f"{INTAKE_CELLS} {_Q['q01']}")
 def q01_misplaced_vocab(spark, sf):
     return _cells(spark, sf, "misplaced-vocab")
 
 
-@query(f"WITH {CELLS} {_Q['q02']}")
+@query(f"{INTAKE_CELLS} {_Q['q02']}")
 def q02_misplaced_in_ref(spark, sf):
     return _cells(spark, sf, "misplaced-in-ref")
 
 
-@query(f"WITH {CELLS} {_Q['q03']}")
+@query(f"{INTAKE_CELLS} {_Q['q03']}")
 def q03_url_in_value(spark, sf):
     return _cells(spark, sf, "url-in-value")
 
 
-@query(f"WITH {CELLS} {_Q['q04']}")
+@query(f"{INTAKE_CELLS} {_Q['q04']}")
 def q04_bad_coordinates(spark, sf):
     return _cells(spark, sf, "bad-shape", ["yard_location_latitude", "yard_location_longitude"])
 
 
-@query(f"WITH {CELLS} {_Q['q05']}")
+@query(f"{INTAKE_CELLS} {_Q['q05']}")
 def q05_bad_numbers(spark, sf):
     return _cells(spark, sf, "bad-shape", ["capacity", "imo_number"])
 
 
-@query(f"WITH {CELLS} {_Q['q06']}")
+@query(f"{INTAKE_CELLS} {_Q['q06']}")
 def q06_bad_year(spark, sf):
     return _cells(spark, sf, "bad-shape", ["delivery_year"])
 
 
-@query(f"WITH {CELLS} {_Q['q07']}")
+@query(f"{INTAKE_CELLS} {_Q['q07']}")
 def q07_bad_date(spark, sf):
     return _cells(spark, sf, "bad-shape", ["contract_date"])
 
 
-@query(f"WITH {CELLS} {_Q['q08']}")
+@query(f"{INTAKE_CELLS} {_Q['q08']}")
 def q08_off_vocab(spark, sf):
     return _cells(spark, sf, "bad-shape", ["capacity_units", "price_currency"])
 
@@ -395,9 +410,9 @@ def q09_orphan_ref(spark, sf):
     return quality.pair_findings(rows_of(spark, sf)).where("check_name = 'orphan-ref'")
 
 
-@query(_Q["q10"])
+@query(INTAKE + _Q["q10"].replace("apply_rows", "intake"))
 def q10_missing_pair(spark, sf):
-    return quality.pair_findings(rows_of(spark, sf).select("record_id", "row_id", "capacity", "capacity_units", "price", "price_currency")).where("check_name = 'missing-pair'")
+    return quality.pair_findings(intake(spark, sf).select("record_id", "row_id", "capacity", "capacity_units", "price", "price_currency")).where("check_name = 'missing-pair'")
 
 
 _PLACE = {"owner": ("shipowner_country_area", "shipowner_facts"), "builder": ("shipbuilder_yard_country_area", "shipbuilder_facts")}
@@ -905,14 +920,23 @@ def _pages(spark, sf) -> DataFrame:
     return d.select(F.expr(_PAGE_URL).alias("url"), F.when(F.expr("doc_id % 11 = 0"), "404").otherwise("200").alias("status"), F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body>"), F.col("text"), F.lit("</body></html>")).alias("html"))
 
 
+def page_url(spark, sf, number: Column) -> Column:
+    """Url of the page that a number picks, of all that there are."""
+    n = table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
+    return F.concat(F.lit("https://pages.example/"), (number % n + 1).cast("string"))
+
+
+_PAGES = "(SELECT count(*) FROM documents)"
+
+
 def _claims(spark, sf) -> DataFrame:
     """One claim per accepted cell about a page that its number picks: owners, sizes and years, which pages do hold at times."""
-    return accepted(spark, sf).select(F.col("cell_id").alias("claim"), F.concat(F.lit("https://pages.example/"), (F.col("cell_id") % 1000 + 1).cast("string")).alias("url"), "value")
+    return accepted(spark, sf).select(F.col("cell_id").alias("claim"), page_url(spark, sf, F.col("cell_id")).alias("url"), "value")
 
 
 @query(
     f"WITH {_ACC}, p AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '404' ELSE '200' END AS status, CASE WHEN doc_id % 13 = 0 THEN 'page not found' ELSE lower(source) END AS title, lower('<html><head><title>' || CASE WHEN doc_id % 13 = 0 THEN 'Page not found' ELSE source END || '</title></head><body>' || text || '</body></html>') AS html FROM documents), "
-    "j AS (SELECT cell_id AS claim, 'https://pages.example/' || CAST(cell_id % 1000 + 1 AS VARCHAR) AS url, lower(coalesce(value, '')) AS v, p.* FROM acc LEFT JOIN p ON cell_id % 1000 + 1 = doc_id) "
+    f"j AS (SELECT cell_id AS claim, 'https://pages.example/' || CAST(cell_id % {_PAGES} + 1 AS VARCHAR) AS url, lower(coalesce(value, '')) AS v, p.* FROM acc LEFT JOIN p ON cell_id % {_PAGES} + 1 = doc_id) "
     "SELECT claim, url, coalesce(status = '200' AND doc_id % 13 <> 0 AND contains(html, v), false) AS ok, CASE WHEN doc_id IS NULL THEN 'HTTP 000' WHEN status <> '200' THEN 'HTTP ' || status WHEN doc_id % 13 = 0 THEN 'soft error: not found' WHEN contains(html, v) THEN 'ok' ELSE 'missing: ' || v END AS reason FROM j"
 )
 def g01_verify(spark, sf):
@@ -922,18 +946,40 @@ def g01_verify(spark, sf):
     return verify(claims, _pages(spark, sf))
 
 
-@query(None)
+def corroborated(asked: str, keys: str) -> str:
+    """CTEs up to seen(keys, number, v, reason) of ``asked``, a select of keys, number (of the page) and v."""
+    page = (
+        "page AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'HTTP 404' WHEN doc_id % 13 = 0 THEN 'soft error: not found' END AS fault,"
+        " lower('<html><head><title>' || CASE WHEN doc_id % 13 = 0 THEN 'Page not found' ELSE source END || '</title></head><body>' || text || '</body></html>') AS html FROM documents)"
+    )
+    words = "[x FOR x IN regexp_extract_all(lower(v), '[a-z0-9]+') IF len(x) >= 3]"
+    return (
+        f"{_ACC}, {variants_of(asked, keys + ', number')}, {page}, met AS (SELECT var.*, {words} AS words, doc_id, fault, html FROM var LEFT JOIN page ON number = doc_id), "
+        f"seen AS (SELECT {keys}, number, v, CASE WHEN v = '' THEN 'no value' WHEN doc_id IS NULL THEN 'HTTP 000' WHEN fault IS NOT NULL THEN fault WHEN len([x FOR x IN l IF contains(html, lower(x))]) > 0 THEN 'ok'"
+        r" WHEN NOT regexp_matches(v, '^\$?\s*[\d,]') AND len(words) >= 2 AND len([x FOR x IN words IF NOT contains(html, x)]) = 0 THEN 'ok: all words' ELSE 'value not on page' END AS reason FROM met)"
+    )
+
+
+_OK = "reason IN ('no value', 'ok', 'ok: all words')"
+_URL = "'https://pages.example/' || CAST(number AS VARCHAR)"
+
+
+@query("WITH " + corroborated(f"SELECT cell_id, cell_id % {_PAGES} + 1 AS number, {S('value')} AS v FROM acc", "cell_id") + f" SELECT cell_id AS claim, {_URL} AS url, {_OK} AS ok, reason FROM seen")
 def g02_corroborate(spark, sf):
     from fairlead.operators.gate import corroborate
 
     return corroborate(_claims(spark, sf), _pages(spark, sf))
 
 
-@query(None)
+@query(
+    "WITH " + corroborated(f"SELECT cell_id, pos, (cell_id + pos) % {_PAGES} + 1 AS number, {S('value')} AS v FROM acc, (SELECT unnest([0, 7, 13]) AS pos)", "cell_id, pos")
+    + f", per AS (SELECT cell_id, count(*) FILTER (WHERE NOT {_OK} AND regexp_matches(reason, '^(HTTP|soft error)')) AS dead, count(*) FILTER (WHERE reason = 'value not on page') AS conflicts, list_distinct(list({_URL}) FILTER (WHERE {_OK})) AS kept, coalesce(string_agg({_URL}, ', ' ORDER BY pos) FILTER (WHERE {_OK}), '') AS urls FROM seen GROUP BY cell_id)"
+    " SELECT cell_id AS fill, dead, conflicts, urls AS kept, CASE WHEN coalesce(len(kept), 0) > 0 THEN 'pass' WHEN cell_id % 4 = 0 THEN 'derived' ELSE 'blank' END AS outcome, CASE WHEN coalesce(len(kept), 0) >= 2 THEN 'full' WHEN len(kept) = 1 THEN 'partial' ELSE 'none' END AS level FROM per"
+)
 def g04_gate_fills(spark, sf):
     from fairlead.operators.gate import gate_fills
 
-    urls = F.transform(F.array(F.lit(0), F.lit(7), F.lit(13)), lambda k: F.concat(F.lit("https://pages.example/"), ((F.col("cell_id") + k) % 1000 + 1).cast("string")))
+    urls = F.array(*[page_url(spark, sf, F.col("cell_id") + k) for k in (0, 7, 13)])
     fills = accepted(spark, sf).select(F.col("cell_id").alias("fill"), "value", urls.alias("urls"), (F.col("cell_id") % 4 == 0).alias("derivable"))
     return gate_fills(fills, _pages(spark, sf))
 

@@ -306,18 +306,18 @@ def o08_union(spark, sf):
     return a.unionByName(b).groupBy("origin", "owner").agg(n_rows())
 
 
-@query(f"SELECT record_id, {S('status')} AS status, regexp_extract(coalesce(delivery_year, ''), '((?:19|20)\\d{{2}})', 1) AS year FROM apply_rows ORDER BY CASE WHEN {S('status')} = 'on order' THEN 0 ELSE 1 END, year DESC, record_id LIMIT 50")
+@query(f"SELECT record_id, {S('status')} AS status, regexp_extract(coalesce(delivery_year, ''), '((?:19|20)\\d{{2}})', 1) AS year FROM apply_rows ORDER BY CASE WHEN {S('status')} = 'on order' THEN 0 ELSE 1 END, year DESC, record_id")
 def o10_on_order_first(spark, sf):
-    """The first rows of the list that people work through: on order first, latest delivery first."""
+    """The list that people work through: on order first, latest delivery first."""
     own = rows_of(spark, sf).select("record_id", s("status").alias("status"), P.year(F.col("delivery_year")).alias("year"))
-    return own.orderBy(F.when(F.col("status") == "on order", 0).otherwise(1), F.desc("year"), "record_id").limit(50)
+    return own.orderBy(F.when(F.col("status") == "on order", 0).otherwise(1), F.desc("year"), "record_id")
 
 
-@query(f"WITH {SH._KEYED}, {SH._ACC} SELECT key, count(*) AS cells, CAST(max(CASE WHEN confidence = 'G' THEN 1 ELSE 0 END) AS INT) AS sure FROM acc WHERE key IS NOT NULL GROUP BY key ORDER BY coalesce(key, 0), key LIMIT 100")
-def o02_first_rows(spark, sf):
-    """The first touched rows by number, as a report shows them."""
+@query(f"WITH {SH._KEYED}, {SH._ACC} SELECT key, count(*) AS cells, CAST(max(CASE WHEN confidence = 'G' THEN 1 ELSE 0 END) AS INT) AS sure FROM acc WHERE key IS NOT NULL GROUP BY key ORDER BY coalesce(key, 0), key")
+def o02_touched_rows(spark, sf):
+    """The touched rows by number, as a report shows them."""
     own = accepted(spark, sf).where("key is not null")
-    return own.groupBy("key").agg(n_rows("cells"), F.max((F.coalesce("confidence", F.lit("")) == "G").cast("int")).alias("sure")).orderBy(sinks.by_number("key"), "key").limit(100)
+    return own.groupBy("key").agg(n_rows("cells"), F.max((F.coalesce("confidence", F.lit("")) == "G").cast("int")).alias("sure")).orderBy(sinks.by_number("key"), "key")
 
 
 # ---- gate and verification ----------------------------------------------------------------------------------------
@@ -328,9 +328,12 @@ def g03_supported_urls(spark, sf):
     return gate.supported_url(SH.g01_verify(spark, sf))
 
 
-@query(None)
+@query(
+    "WITH " + SH.corroborated(f"SELECT cell_id, pos, cell_id * (2 * pos + 1) % {SH._PAGES} + 1 AS number, {S('value')} AS v FROM acc, (SELECT unnest([0, 1]) AS pos)", "cell_id, pos")
+    + f" SELECT cell_id AS cell, pos, {SH._URL} AS url, CASE WHEN cell_id % 9 = 0 THEN 'PRESERVED' WHEN {SH._OK} THEN 'PASS' WHEN starts_with(reason, 'HTTP') AND contains({SH._URL}, 'pages.example/7') THEN 'SOFT-KEPT' WHEN regexp_matches(reason, '^(HTTP|soft error)') THEN 'DROPPED-unreachable' ELSE 'DROPPED-conflict' END AS verdict FROM seen"
+)
 def g05_ref_verdicts(spark, sf):
-    refs = F.concat_ws("\n", *[F.concat(F.lit("https://pages.example/"), ((F.col("cell_id") * k) % 1000 + 1).cast("string")) for k in (1, 3)])
+    refs = F.concat_ws("\n", *[SH.page_url(spark, sf, F.col("cell_id") * k) for k in (1, 3)])
     cells = accepted(spark, sf).select(F.col("cell_id").alias("cell"), "value", refs.alias("ref"), (F.col("cell_id") % 9 == 0).alias("preserve"))
     return gate.ref_verdicts(cells, SH._pages(spark, sf), ("pages.example/7",))
 
