@@ -9,6 +9,7 @@ neighbourhoods of word beginnings, word ends, initials), never pairwise.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -228,6 +229,9 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, slack: flo
     slips = slips.select("field", "plain", "n", "u", "form", "of").distinct().where(F.slice("u", F.lit(2), F.size("u")) == F.slice("form", F.lit(2), F.size("form")))
     slips = settle(slips.where(_cost("u", "form") <= max(TYPO, CUT) + COMPANY).select("field", "plain", "n", "of", F.startswith(F.get("form", F.lit(0)), F.get("u", F.lit(0))).alias("cut")))
     usual = {r.cut: r.share for r in slips.where("n < of").groupBy("cut").agg((F.sum("n") / F.sum("of")).alias("share")).collect()}
+    # A listed form whose head is not written as it is yields to one whose head is, by what a slip's share says beyond TYPO.
+    # Rivals yield by as much, so they stand to such forms as before.
+    inexact = max(0.0, -math.log(usual[False]) - TYPO) if usual.get(False) else 0.0
     share = F.when(F.col("cut"), usual.get(True, 0.0)).otherwise(usual.get(False, 0.0))
     slips = slips.where(F.col("n") < least + F.col("of") * share * slack).select("field", "plain").distinct()
     rivals = full.where(F.col("n") >= least).join(slips, ["field", "plain"], "left_anti").select("field", F.lit(None).cast("string").alias("tag"), F.lit(None).cast("string").alias("tag_country"), F.lit(None).cast("string").alias("tag_source"), "form", "keys", "n")
@@ -235,7 +239,7 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, slack: flo
 
     own = lambda c: F.transform(F.col(c), lambda k: F.concat_ws("\u0001", F.col("field"), k))
     near = salted_join(parsed.select("field", "part", "tokens", F.explode(own("name_keys")).alias("key")), forms.select("tag", "tag_country", "tag_source", "form", "n", F.explode(own("keys")).alias("key")), "key")
-    near = settle(near.drop("key").distinct().withColumn("cost", _cost("tokens", "form")).where(F.col("cost") <= MOST).drop("tokens"))
+    near = settle(near.drop("key").distinct().withColumn("cost", _cost("tokens", "form")).where(F.col("cost") <= MOST).withColumn("exact", F.col("tag").isNotNull() & F.array_contains("tokens", F.get("form", F.lit(0)))).drop("tokens"))
 
     # Rows of one name may say different countries; each distinct saying is judged once, and only then meets its rows.
     whole = F.concat_ws("\u0001", "field", "text", "country", "source")
@@ -247,7 +251,7 @@ def attribute(mentions: DataFrame, listed: DataFrame, least: int = 4, slack: flo
     sourced = (F.col("source") != "") & (F.col("tag_source") != "")
     fits = F.when(sourced, F.when(F.instr("source", F.col("tag_source")) > 0, cited).when(F.col("alone"), -cited).otherwise(0.0)).otherwise(0.0)
     fits = fits + F.when(known, F.when(F.lower("country") == F.lower("tag_country"), placed).when(F.col("alone"), -2 * placed).otherwise(0.0)).otherwise(0.0)
-    post = judged.withColumn("post", F.log(F.col("n") + 0.5) - F.col("cost") + F.coalesce(fits, F.lit(0.0)))
+    post = judged.withColumn("post", F.log(F.col("n") + 0.5) - F.col("cost") - F.when(F.col("exact"), 0.0).otherwise(inexact) + F.coalesce(fits, F.lit(0.0)))
     best = post.groupBy("field", "part", "country", "source", "alone").agg(F.max(F.struct("post", F.negative("cost").alias("close"), F.array_join("form", " ").alias("name"), "tag")).alias("b"))
     best = best.where(F.col("b.tag").isNotNull()).select("field", "part", "country", "source", "alone", F.col("b.tag").alias("tag"))
     tags_of = saying.join(best, ["field", "part", "country", "source", "alone"]).select("_k", "tag").distinct()
